@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .compression import quality_rules
+from .decontaminate import leaks
+from .forest import near_duplicates
+from .gam import classify
 from .mixing import mix
 from .perspective import rotate
 from .pii import pii_report
@@ -16,6 +19,11 @@ from .warc import archive_pages, page_records
 URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each benchmark item that leaked into a document."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages against the rules and a list: the URLs of the pages whose id is divisible by 100."""
     pages = table(spark, sf_dir, "pages")
@@ -30,6 +38,10 @@ def op5_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), total_share=1.5, most=2.0)
 
 
+def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = page_records(spark, archive_pages(table(spark, sf_dir, "pages")))
     return back.withColumns({"page_id": F.col("page_id").cast("long"), "refers_to": F.col("refers_to").cast("long")})
@@ -43,7 +55,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op7_warc, op8_perspectives, op9_pii)}
+def op10_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_col="quality", fold=5, threshold=0.3)
+
+
+QUERIES = {f.__name__: f for f in (op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
@@ -63,6 +79,18 @@ SELECT page_id, host, path, rule, k IS NOT NULL AS listed,
   CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow'
   ELSE CASE WHEN k IS NOT NULL THEN 'block' ELSE 'allow' END END AS verdict
 FROM r LEFT JOIN listed ON key = k
+""",
+    "op6_lsh_forest": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON a = d.doc_id
 """,
     "op7_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
