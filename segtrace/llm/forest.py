@@ -25,15 +25,14 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own, saved
 from .urls import WORDS, _address, build_filter
+from .words import mix, word_codes
 
 _U = np.uint64
 
@@ -50,36 +49,23 @@ class Forest:
     seed: int = 7
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 def _shingle_hashes(column: pa.Array, width: int) -> list[np.ndarray]:
     """Distinct 64-bit shingle hashes of each text, rising."""
-    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
-    flat = words.flatten()
-    filled = pc.not_equal(flat, "")  # the edges of a text split into empty pieces
-    kept = np.asarray(filled)
-    counts = np.add.reduceat(np.append(kept, False).astype(np.int64), np.asarray(words.offsets)[:-1]) if len(words) else np.zeros(0, np.int64)
-    counts[np.asarray(words.value_lengths()) == 0] = 0
-    coded = flat.filter(filled).dictionary_encode()
-    named = pd.util.hash_array(np.array(coded.dictionary.to_pylist(), dtype=object)) if len(coded.dictionary) else np.zeros(0, _U)
-    ids = _mix(named.astype(_U))[np.asarray(coded.indices)] if len(coded) else np.zeros(0, _U)
+    counts, codes, named = word_codes(column)
+    ids = named[codes] if len(codes) else np.zeros(0, _U)
     run = np.zeros(max(0, len(ids) - width + 1), _U)
     for k in range(width):
         run = run * _U(0x9E3779B97F4A7C15) + ids[k : k + len(run)]
-    run = _mix(run)
+    run = mix(run)
     out, at = [], 0
     for n in counts.tolist():
         if n >= width:
             out.append(np.unique(run[at : at + n - width + 1]))
         elif n:
-            h = _U(n)
+            h = np.array([n], _U)
             for x in ids[at : at + n]:
                 h = h * _U(0x9E3779B97F4A7C15) + x
-            out.append(_mix(np.array([h], _U)))
+            out.append(mix(h))
         else:
             out.append(np.zeros(0, _U))
         at += n
@@ -107,11 +93,11 @@ def signatures(docs: DataFrame, forest: Forest) -> DataFrame:
                         some = full[at : at + step]
                         joined = np.concatenate([sets[i] for i in some])
                         starts = np.append(0, np.cumsum(sizes[some])[:-1])
-                        k1[some] = np.add.reduceat(_mix(joined), starts)
-                        k2[some] = np.add.reduceat(_mix(joined + _U(0x51)), starts)
+                        k1[some] = np.add.reduceat(mix(joined), starts)
+                        k2[some] = np.add.reduceat(mix(joined + _U(0x51)), starts)
                         for h in range(total):
                             low = np.minimum.reduceat(joined * a[h] + b[h], starts)
-                            sig[some, h] = (_mix(low) >> _U(48)).astype(np.uint16)
+                            sig[some, h] = (mix(low) >> _U(48)).astype(np.uint16)
                     bits = [sig[i].tobytes() if sizes[i] else None for i in range(len(sets))]
                     yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(bits, pa.binary())], names=["id", "n", "k1", "k2", "sig"])
 

@@ -10,6 +10,7 @@ from .compression import quality_rules
 from .decontaminate import leaks
 from .forest import near_duplicates
 from .gam import classify
+from .lm_trie import learn_and_score
 from .mixing import mix
 from .perspective import rotate
 from .pii import pii_report
@@ -19,6 +20,11 @@ from .warc import archive_pages, page_records
 URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
 
 
+def op1_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from the documents whose crc32(doc_id as text) mod 7 isn't 2, scored on all."""
+    return learn_and_score(table(spark, sf_dir, "documents"), fold=7, held=2)
+
+
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each benchmark item that leaked into a document."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -59,7 +65,7 @@ def op10_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_col="quality", fold=5, threshold=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality)}
+QUERIES = {f.__name__: f for f in (op1_lm_trie, op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
