@@ -30,7 +30,7 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 SCHEMA = (
     "id {id}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
-    " n_bytes long, ratio double, n_chunks long, n_chunks_low long, n_chunks_high long"
+    " n_bytes long, ratio double, n_chunks long, n_chunks_low long, n_chunks_high long, in_band boolean"
 )
 
 
@@ -114,37 +114,52 @@ def ratios(raw: bytes, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[
     return whole, n, low, high
 
 
+def in_band(n_bytes: int, ratio: float, n_chunks: int, low: int, high: int, bands: Bands) -> bool:
+    """The method's verdict: the whole text within the band of its length, and few chunks outside theirs."""
+    _, least, most = next(b for b in reversed(bands.whole) if n_bytes >= b[0])
+    return least <= ratio <= most and low + high <= n_chunks * bands.max_bad_chunks
+
+
+def measure(raw: bytes, packer: zstandard.ZstdCompressor, bands: Bands, width: int) -> tuple:
+    """All of SCHEMA after the id, for one text."""
+    packed = ratios(raw, packer, bands)
+    return (*text_counts(raw, width), len(raw), *packed, in_band(len(raw), *packed, bands))
+
+
 def compression_stats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Bands = Bands(), width: int = 8) -> DataFrame:
-    """Counts and compression ratios of every text: one row for each row of df."""
+    """Counts, compression ratios and in_band of every text: one row for each row of df."""
     rows = own(df, id=id_col, text=text_col)
     schema = SCHEMA.format(id=rows.schema["id"].dataType.simpleString())
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    kinds = [{"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[x.split()[1]] for x in SCHEMA.split(", ")[1:]]
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level)
         for batch in batches:
-            out = [text_counts(raw, width) + (len(raw),) + ratios(raw, packer, bands) for raw in (x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist())]
-            cols = list(zip(*out, strict=True)) if out else [[]] * 10
-            kinds = [pa.float64() if k == 6 else pa.int64() for k in range(10)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]], names=[x.split()[0] for x in SCHEMA.split(", ")])
+            out = [measure(raw or b"", packer, bands, width) for raw in batch.column(1).cast(pa.binary()).to_pylist()]
+            cols = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]], names=names)
 
-    return rows.mapInArrow(measure, schema)
-
-
-def in_bands(bands: Bands = Bands()):
-    """The method's verdict over the columns of compression_stats."""
-    inside = F.lit(True)
-    for k, (start, low, high) in enumerate(bands.whole):
-        end = bands.whole[k + 1][0] if k + 1 < len(bands.whole) else None
-        here = (F.col("n_bytes") >= start) & (F.col("n_bytes") < end if end else F.lit(True))
-        inside = inside & (~here | F.col("ratio").between(low, high))
-    bad = F.col("n_chunks_low") + F.col("n_chunks_high")
-    return inside & (bad <= F.col("n_chunks") * bands.max_bad_chunks)
+    return rows.mapInArrow(scan, schema)
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Bands = Bands(), min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
-    """compression_stats plus base_failed, in_band and kept, under the id column's own name."""
+    """compression_stats plus base_failed and kept, under the id column's own name."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     stats = compression_stats(df, id_col, text_col, bands)
-    return stats.select(
-        F.col("id").alias(id_col), *stats.columns[1:], failed.alias("base_failed"), in_bands(bands).alias("in_band"), (~failed & in_bands(bands)).alias("kept")
-    )
+    return stats.select(F.col("id").alias(id_col), *stats.columns[1:], failed.alias("base_failed"), (~failed & F.col("in_band")).alias("kept"))
+
+
+def keep_quality(df: DataFrame, text_col: str = "text", bands: Bands = Bands(), min_words: int = 20, max_repeat_percent: int = 30, width: int = 8) -> DataFrame:
+    """The rows of df that quality_rules keeps, in one pass without a shuffle."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=bands.level)
+        for batch in batches:
+            good = []
+            for raw in batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist():
+                n, *_, repeats, size, ratio, chunks, low, high, inside = measure(raw or b"", packer, bands, width)
+                good.append(inside and n >= min_words and 100 * repeats <= max_repeat_percent * n)
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return df.mapInArrow(keep, df.schema)

@@ -118,7 +118,7 @@ def round_dependently(df: DataFrame, seed: int = 1, per_bucket: int = 10_000, fa
 
 
 def mix(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), total_share: float = 1.5, most: float = 2.0, seed: int = 1, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per row of df: id, size, source_size, target of the source, copies and taken words."""
+    """Per row of df: id, source, size, source_size, target of the source, copies and taken words."""
     docs = saved(own(df, id=id_col, text=text_col, source=source_col).select("id", "source", word_count(F.col("text")).alias("size")), "sizes")
     sources = saved(docs.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     goal = targets(cyclic_weights(sources, weights), total_share, most)
@@ -132,7 +132,22 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), total_share: floa
     flat = wanted.filter(~open_).select("source", "id", "size", F.lit(0.0).alias("p"))
     copies = F.when(F.col("size") > 0, F.col("whole") + F.col("p")).otherwise(0).cast("long")
     out = flat.unionByName(extra).join(_sized(goal), same).withColumn("copies", copies)
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """df with each row as often as mix() takes it, numbered from 1 in a new last column, copy; the rest go.
+
+    Rows that agree in id, source and size are dealt the copies of such rows by a hash of their text.
+    """
+    plan = mix(df, id_col=id_col, text_col=text_col, source_col=source_col, **options).filter("copies > 0")
+    same = [F.col(id_col).alias("i"), F.col(source_col).alias("s")]
+    nth = lambda order: F.row_number().over(Window.partitionBy("i", "s", "z").orderBy(order))
+    plan = plan.select(*same, F.col("size").alias("z"), "copies").withColumn("n", nth(F.desc("copies")))
+    plan = plan.toDF("pi", "ps", "pz", "copies", "pn")
+    rows = df.select(F.struct("*").alias("row"), *same, word_count(F.col(text_col)).alias("z"), F.xxhash64(text_col).alias("h")).withColumn("n", nth(F.col("h")))
+    met = rows.join(plan, F.col("i").eqNullSafe(F.col("pi")) & F.col("s").eqNullSafe(F.col("ps")) & (F.col("z") == F.col("pz")) & (F.col("n") == F.col("pn")))
+    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*", "copy")
 
 
 def _sized(goal: DataFrame, most_rows: int = 100_000) -> DataFrame:
