@@ -7,6 +7,12 @@ sorted order share the longest prefixes there are, so the depth adapts to the re
 texts are alike, short where few are. A sketch that travels with the signature drops candidates that
 can't be near the threshold; what is left is confirmed on full sets of shingles.
 
+A window misses partners where a region is crowded. So regions (classes with a common prefix in some tree) that
+still hold several components are gone through once more: each class outside a region's largest component meets the
+others there that are in other components. A region with more than `outside` such classes is cut by a longer
+prefix first, as long as need be, running on through the other trees' values; so each class meets a bounded
+number of others in a tree, whatever the region's size, and regions that are one component cost nothing.
+
 Orders are cut into ranges of (tree, signature, id), so a third of all rows with one prefix spread over
 many tasks; the rows next to a cut are compared in a second small join. Each text is first confirmed with
 its likeliest partner; the other candidates are confirmed only where that has not already put both in one
@@ -46,6 +52,7 @@ class Forest:
     near: int = 4
     sketch: int = 24  # values of the next trees, a byte each
     sketch_least: int = 11
+    outside: int = 32
     seed: int = 7
 
 
@@ -180,6 +187,47 @@ def candidates(classes: DataFrame, f: Forest) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("score").alias("score"))
 
 
+def _across_components(classes: DataFrame, f: Forest) -> DataFrame:
+    """classes(id, sig, component) to pairs (a < b) in different components that share a region of some tree."""
+    total, width = f.trees * f.depth, 2 * f.depth
+    turned = lambda depth: F.substring(F.concat("sig", "sig"), F.col("tree") * width + 1, F.lit(2 * depth))
+    rows = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(f.trees - 1)))).select("id", "sig", "component", "tree")
+    depths, found = [f.least], None
+    while depths[-1] < total:
+        depths.append(min(total, depths[-1] + max(1, depths[-1] // 4)))
+    for depth in depths:
+        placed = rows.withColumn("region", F.xxhash64("tree", turned(depth)))
+        parts = placed.groupBy("region", "component").count()
+        sizes = parts.groupBy("region").agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("component", F.struct("count", "component")).alias("largest"))
+        sizes = sizes.filter("n > most").select(F.col("region").alias("at"), (F.col("n") - F.col("most")).alias("others"), "largest")
+        live = placed.join(sizes, F.col("region") == F.col("at")).drop("at")
+        live = saved(live, "crowded")
+        ready = live.filter(F.col("others") <= f.outside)
+        sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.sketch)).alias(name)
+        few = ready.filter(F.col("component") != F.col("largest")).select("region", F.col("id").alias("x"), F.col("component").alias("cx"), sketch("sx"))
+        all_ = ready.select("region", F.col("id").alias("y"), F.col("component").alias("cy"), sketch("sy"), (F.col("component") != F.col("largest")).alias("both"))
+        met = few.join(all_, "region").filter((F.col("cx") != F.col("cy")) & (~F.col("both") | (F.col("x") < F.col("y")))).select("x", "y", "sx", "sy")
+        pairs = met.mapInArrow(_alike(f), "a long, b long")
+        found = pairs if found is None else found.unionByName(pairs)
+        rows = live.filter(F.col("others") > f.outside).select("id", "sig", "component", "tree")
+        if not rows.limit(1).count():
+            break
+    return found.distinct()
+
+
+def _alike(f: Forest):
+    def filter_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(len(batch), -1) for k in (2, 3))
+            hit = (x == y).sum(axis=1) >= f.sketch_least
+            u, v = batch.column(0).to_numpy()[hit], batch.column(1).to_numpy()[hit]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+
+    return filter_pairs
+
+
 def _packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, packed) of the documents named in ids(id): a Bloom filter of the ids keeps other texts from being shuffled."""
     n = ids.count()
@@ -200,6 +248,10 @@ def _packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return saved(some.mapInArrow(pack, "id long, packed binary"), "texts")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """pairs(a, b) whose full sets of shingles have 100 * intersection >= percent * union."""
     left = texts.select(F.col("id").alias("a"), F.col("packed").alias("pa"))
@@ -259,8 +311,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, forest: Forest = Forest(
     several = real.groupBy("id").agg((F.min("k1") != F.max("k1")).alias("several")).filter("several").select("id")
     tied = real.join(several, "id").select(F.col("id").alias("a"), "k1", "k2").join(classes.select("k1", "k2", F.col("id").alias("b")), ["k1", "k2"]).select("a", "b")
     pairs = saved(candidates(classes, forest), "candidates")
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = _packed_texts(rows, ends)
+    texts = _packed_texts(rows, _ends(pairs))
     twice = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
     best = twice.groupBy("a").agg(F.max_by("b", F.struct("score", -F.col("b"))).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = saved(confirmed(best, texts, percent, forest.width).unionByName(tied), "links")
@@ -271,6 +322,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, forest: Forest = Forest(
     rest = rest.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
     links = saved(links.unionByName(confirmed(rest, texts, percent, forest.width)), "links")
     roots = components(links)
+    placed = classes.select("id", "sig").join(roots.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select("id", "sig", F.coalesce("root", "id").alias("component"))
+    more = saved(_across_components(placed, forest).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+    if more.limit(1).count():
+        links = saved(links.unionByName(confirmed(more, _packed_texts(rows, _ends(more)), percent, forest.width)), "links")
+        roots = components(links)
     heads = classes.select("k1", "k2", F.col("id").alias("head")).join(roots, F.col("head") == F.col("id"), "left").select("k1", "k2", F.coalesce("root", "head").alias("component"))
     out = signed.join(heads.withColumnsRenamed({"k1": "c1", "k2": "c2"}), (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n") > 0), "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
