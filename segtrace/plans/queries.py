@@ -579,7 +579,7 @@ def constellation_input(t: Tables) -> DataFrame:
     return writers.constellation_input(rows)
 
 
-@query(f"""SELECT doc_id, md5('>' || doc_id || chr(10) || regexp_replace(s, '(.{{80}})', '\\1' || chr(10), 'g')) AS record_md5
+@query(f"""SELECT doc_id, md5('>' || doc_id || chr(10) || rtrim(regexp_replace(s, '(.{{80}})', '\\1' || chr(10), 'g'), chr(10))) AS record_md5
 FROM (SELECT doc_id, {_NORM} || '*' AS s FROM documents)""")
 def fasta_records(t: Tables) -> DataFrame:
     seq = F.concat(T.normalize_sequence(F.col("text")), F.lit("*"))
