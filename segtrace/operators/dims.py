@@ -57,7 +57,11 @@ def taxa_dim(nodes: DataFrame) -> DataFrame:
 
     Subfamily falls back to family, division to order, then to class.
     """
-    at = {r: F.get(F.filter("lineage", lambda x, r=r: F.lower(F.trim(x["rank"])) == r), F.lit(0))["name"] for r in RANKS}
+
+    def named(rank: str) -> Column:
+        return F.get(F.filter("lineage", lambda x: F.lower(F.trim(x["rank"])) == rank), F.lit(0))["name"]
+
+    at = {r: named(r) for r in RANKS}
     at["subfamily"] = F.coalesce(at["subfamily"], at["family"])
     at["division"] = F.coalesce(at["division"], at["order"], at["class"])
     return nodes.select("name", "rank", *[at[r].alias(r) for r in RANKS])

@@ -124,7 +124,7 @@ def read_genbank(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = spark.read.option("lineSep", "\n//").text(path).filter(F.col("value").contains("LOCUS"))
     part = lambda p: F.regexp_extract("value", p, 1)
     version, locus = part(r"(?m)^VERSION\s+(\S+)"), part(r"(?m)^\s*LOCUS\s+(\S+)")
-    definition = F.regexp_replace(F.trim(part(r"(?ms)^DEFINITION\s+(.*?)(?=^\S)")), r"\s+", " ")
+    definition = F.trim(F.regexp_replace(part(r"(?ms)^DEFINITION\s+(.*?)(?=^\S)"), r"\s+", " "))
     table = part(r"(?ms)^FEATURES[^\n]*\n(.*?)(?=^ORIGIN|^CONTIG|\z)")
     blocks = F.filter(F.split(table, r"(?m)^ {5}(?=\S)"), lambda b: F.trim(b) != "")
     quals = lambda b: F.transform(
