@@ -13,7 +13,13 @@ WHITE = b" \t\n\r\x0b\f"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
+    """Hand whole texts to Python in batches of few rows, which bounds the memory of workers and JVM alike."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -11,14 +11,15 @@ A window misses partners where a region is crowded. So regions (classes with a c
 still hold several components are gone through once more: each class outside a region's largest component meets the
 others there that are in other components. A region with more than `outside` such classes is cut by a longer
 prefix first, as long as need be, running on through the other trees' values; so each class meets a bounded
-number of others in a tree, whatever the region's size, and regions that are one component cost nothing.
+number of others in a tree, whatever the region's size, and regions that are one component cost nothing. This is
+repeated while it finds links, as joined components leave fewer outside.
 
 Orders are cut into ranges of (tree, signature, id), so a third of all rows with one prefix spread over
 many tasks; the rows next to a cut are compared in a second small join. Each text is first confirmed with
 its likeliest partner; the other candidates are confirmed only where that has not already put both in one
 component, which spares all pairs within a group and loses no link between components.
 
-Components are found by rounds of star contraction, each written to the shared folder.
+Components are found by rounds of local and star contraction, each written to the shared folder.
 
 Defined cases: null or empty texts have empty sets and stay alone; a null id stays alone, is kept and has
 no component; rows that repeat an id are one vertex; other columns are ignored. Ids are integers.
@@ -52,7 +53,9 @@ class Forest:
     near: int = 4
     sketch: int = 24  # values of the next trees, a byte each
     sketch_least: int = 11
-    outside: int = 32
+    outside: int = 16
+    check: int = 64  # values compared before two classes of a crowded region become candidates
+    slack: float = 0.175  # their shared fraction may lie so far below the threshold (3.5 standard deviations)
     seed: int = 7
 
 
@@ -187,14 +190,14 @@ def candidates(classes: DataFrame, f: Forest) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("score").alias("score"))
 
 
-def _across_components(classes: DataFrame, f: Forest) -> DataFrame:
+def _across_components(classes: DataFrame, f: Forest, percent: int) -> DataFrame:
     """classes(id, sig, component) to pairs (a < b) in different components that share a region of some tree."""
     total, width = f.trees * f.depth, 2 * f.depth
     turned = lambda depth: F.substring(F.concat("sig", "sig"), F.col("tree") * width + 1, F.lit(2 * depth))
     rows = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(f.trees - 1)))).select("id", "sig", "component", "tree")
     depths, found = [f.least], None
     while depths[-1] < total:
-        depths.append(min(total, depths[-1] + max(1, depths[-1] // 4)))
+        depths.append(min(total, depths[-1] + max(2, depths[-1] // 2)))
     for depth in depths:
         placed = rows.withColumn("region", F.xxhash64("tree", turned(depth)))
         parts = placed.groupBy("region", "component").count()
@@ -203,11 +206,11 @@ def _across_components(classes: DataFrame, f: Forest) -> DataFrame:
         live = placed.join(sizes, F.col("region") == F.col("at")).drop("at")
         live = saved(live, "crowded")
         ready = live.filter(F.col("others") <= f.outside)
-        sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.sketch)).alias(name)
+        sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.check)).alias(name)
         few = ready.filter(F.col("component") != F.col("largest")).select("region", F.col("id").alias("x"), F.col("component").alias("cx"), sketch("sx"))
         all_ = ready.select("region", F.col("id").alias("y"), F.col("component").alias("cy"), sketch("sy"), (F.col("component") != F.col("largest")).alias("both"))
         met = few.join(all_, "region").filter((F.col("cx") != F.col("cy")) & (~F.col("both") | (F.col("x") < F.col("y")))).select("x", "y", "sx", "sy")
-        pairs = met.mapInArrow(_alike(f), "a long, b long")
+        pairs = met.mapInArrow(_alike(f.check * (percent / 100 - f.slack)), "a long, b long")
         found = pairs if found is None else found.unionByName(pairs)
         rows = live.filter(F.col("others") > f.outside).select("id", "sig", "component", "tree")
         if not rows.limit(1).count():
@@ -215,13 +218,13 @@ def _across_components(classes: DataFrame, f: Forest) -> DataFrame:
     return found.distinct()
 
 
-def _alike(f: Forest):
+def _alike(least: float):
     def filter_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(len(batch), -1) for k in (2, 3))
-            hit = (x == y).sum(axis=1) >= f.sketch_least
+            hit = (x == y).sum(axis=1) >= least
             u, v = batch.column(0).to_numpy()[hit], batch.column(1).to_numpy()[hit]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
 
@@ -279,17 +282,44 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> D
     return both.mapInArrow(compare, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges (u, v) of one task to an edge from each vertex to the smallest one it reaches over them."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (up := parent.setdefault(root, root)) != root:
+            root = up
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            u, v = find(u), find(v)
+            if u != v:
+                parent[max(u, v)] = min(u, v)
+    pairs = [(x, root) for x in parent if (root := find(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+
+def components(edges: DataFrame, per_task: int = 200_000) -> DataFrame:
     """edges(a, b) to (id, root): root is the smallest id reachable. Vertices without edges are not listed.
 
-    Alternating star contraction: each vertex hands its larger neighbours, then its smaller ones, to the
-    smallest of them; the number of rounds grows with the logarithm of the longest chain.
+    In each round, tasks of about per_task edges contract what they hold to stars; when that takes one task, all is
+    done. Else two star contractions follow: each vertex hands its larger neighbours, then its smaller ones, to the
+    smallest of them. The number of rounds grows with the logarithm of the longest chain.
     """
     edges = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "edges")
     mark = None
     while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        tasks = -(-edges.count() // per_task)
+        held = edges.coalesce(1) if tasks <= 1 else edges.repartition(tasks)
+        edges = saved(held.mapInArrow(_forests, "u long, v long"), "edges")
+        if tasks <= 1:
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         lowest = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         small = large.join(lowest, F.col("u") == F.col("w"))
@@ -322,10 +352,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, forest: Forest = Forest(
     rest = rest.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
     links = saved(links.unionByName(confirmed(rest, texts, percent, forest.width)), "links")
     roots = components(links)
-    placed = classes.select("id", "sig").join(roots.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select("id", "sig", F.coalesce("root", "id").alias("component"))
-    more = saved(_across_components(placed, forest).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
-    if more.limit(1).count():
-        links = saved(links.unionByName(confirmed(more, _packed_texts(rows, _ends(more)), percent, forest.width)), "links")
+    tested = pairs.select("a", "b")
+    while True:  # until crowded regions give no further link
+        placed = classes.select("id", "sig").join(roots.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select("id", "sig", F.coalesce("root", "id").alias("component"))
+        more = saved(_across_components(placed, forest, percent).join(tested, ["a", "b"], "left_anti"), "candidates")
+        if not more.limit(1).count():
+            break
+        new = saved(confirmed(more, _packed_texts(rows, _ends(more)), percent, forest.width), "links")
+        if not new.limit(1).count():
+            break
+        links, tested = links.unionByName(new), tested.unionByName(more)
         roots = components(links)
     heads = classes.select("k1", "k2", F.col("id").alias("head")).join(roots, F.col("head") == F.col("id"), "left").select("k1", "k2", F.coalesce("root", "head").alias("component"))
     out = signed.join(heads.withColumnsRenamed({"k1": "c1", "k2": "c2"}), (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n") > 0), "left")

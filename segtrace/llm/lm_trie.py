@@ -324,7 +324,7 @@ def _triple_level(trie: Trie) -> Callable:
     return build
 
 
-def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 4_000_000, tokens_per_shard: int = 2_000_000) -> Trie:
+def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_000_000, tokens_per_shard: int = 2_000_000) -> Trie:
     """Count the texts of docs and write the levels of their trie to a new folder in the shared one."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "trie")
     texts = own(docs, text=text_col)
