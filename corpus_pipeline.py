@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segtrace.llm.common import saved, table
+from segtrace.llm.common import saved, small_batches, table
 from segtrace.llm.compression import keep_quality
 from segtrace.llm.decontaminate import decontaminate
 from segtrace.llm.forest import deduplicate
@@ -21,11 +21,13 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
+    small_batches(spark)
     return keep_quality(docs.select(*COLUMNS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with shingle similarity 0.8 or more: that with the smallest id."""
+    small_batches(spark)
     return deduplicate(docs, percent=80).select(*COLUMNS)
 
 
@@ -36,6 +38,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind; n_chars follows the new text."""
+    small_batches(spark)
     masked = mask_pii(docs.select(*COLUMNS))
     return masked.withColumn("n_chars", F.length("text").cast("long"))
 
