@@ -225,7 +225,7 @@ def _blocks(trie: Trie, flush: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 def _pair_level(trie: Trie) -> Callable:
     """Blocks of one shard to its pairs (Elias-Fano) and its triples (packed for the next step), in a file.
 
-    Rows out: (shard, n, word, follow): the number of pairs of the shard (word null), and pairs by first word.
+    Rows out: (shard, n, part, word, follow): the number of pairs of the shard (word null), and pairs by first word.
     """
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
@@ -250,8 +250,9 @@ def _pair_level(trie: Trie) -> Callable:
         write_arrays(f"{trie.folder}/triples-{shard:06d}.bin", {"n": arrays["n"], "triples": triples, "follow": follow}, _attempt())
         word = (pair // _U(trie.size)).astype(np.int64)
         at = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-        n = len(at)
-        return pa.table({"shard": pa.array([shard] * (n + 1), pa.int64()), "n": pa.array([len(pair)] + [None] * n, pa.int64()), "word": pa.array([None, *word[at].tolist()], pa.int64()), "follow": pa.array([None, *np.diff(np.append(at, len(word))).tolist()], pa.int64())})
+        part = np.searchsorted(trie.word_base, word[at], side="right") - 1
+        rows = [(shard, len(pair), None, None, None), *((shard, None, p, w, k) for p, w, k in zip(part.tolist(), word[at].tolist(), np.diff(np.append(at, len(word))).tolist(), strict=True))]
+        return pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["shard", "n", "part", "word", "follow"])
 
     return build
 
@@ -363,14 +364,13 @@ def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_
 
     saved(by_part.groupBy("part").applyInArrow(write_words, "part long"), "manifest")
     blocks = texts.mapInArrow(_blocks(trie, tokens_per_shard), "shard long, n long, base long, block binary")
-    found = saved(blocks.groupBy("shard").applyInArrow(_pair_level(trie), "shard long, n long, word long, follow long"), "manifest")
+    found = saved(blocks.groupBy("shard").applyInArrow(_pair_level(trie), "shard long, n long, part long, word long, follow long"), "manifest")
     sizes = {r["shard"]: r["n"] for r in found.filter(F.col("word").isNull()).select("shard", "n").collect()}
     trie.pair_base = np.append(0, np.cumsum([sizes.get(k, 0) for k in range(trie.shards)])).tolist()
-    at = F.lit(-1)
-    for x in base[:-1]:
-        at = at + (F.col("word") >= x).cast("int")
-    follow = found.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("follow").alias("follow"))
-    follow = _whole_parts(follow, base).withColumn("part", F.least(at, F.lit((1 << bits) - 1)).cast("long"))
+    # Every part gets its pointers, also one whose words nothing follows: its first word is listed with none.
+    firsts = [(k, base[k], 0) for k in range(1 << bits) if base[k + 1] > base[k]]
+    follow = found.filter(F.col("word").isNotNull()).select("part", "word", "follow").unionByName(spark.createDataFrame(firsts, "part long, word long, follow long"))
+    follow = follow.groupBy("part", "word").agg(F.sum("follow").alias("follow"))
     ends = {r["part"]: r["pairs"] for r in saved(follow.groupBy("part").applyInArrow(_follow_level(trie), "part long, pairs long"), "manifest").collect()}
     trie.follow_base = np.append(0, np.cumsum([ends.get(k, 0) for k in range(1 << bits)])).tolist()
     tasks = spark.range(0, trie.shards, 1, min(trie.shards, 100_000)).select(F.col("id").alias("shard"))
@@ -379,12 +379,6 @@ def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_
     return trie
 
 
-def _whole_parts(follow: DataFrame, base: list[int]) -> DataFrame:
-    """follow, and a row without followers for the first word of each part, so that every part gets its pointers."""
-    first = follow.sparkSession.createDataFrame([(a, 0) for a, b in zip(base, base[1:], strict=False) if b > a], "word long, follow long")
-    return follow.unionByName(first).groupBy("word").agg(F.sum("follow").alias("follow"))
-
-
 def score_batch(trie: Trie, column: pa.Array) -> dict[str, np.ndarray]:
     """Tokens, known tokens, base score and score of each text."""
     size, codes, hashes = tokens(column)
