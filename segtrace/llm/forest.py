@@ -11,8 +11,7 @@ A window misses partners where a region is crowded. So regions (classes with a c
 still hold several components are gone through once more: each class outside a region's largest component meets the
 others there that are in other components. A region with more than `outside` such classes is cut by a longer
 prefix first, as long as need be, running on through the other trees' values; so each class meets a bounded
-number of others in a tree, whatever the region's size, and regions that are one component cost nothing. This is
-repeated while it finds links, as joined components leave fewer outside.
+number of others in a tree, whatever the region's size, and regions that are one component cost nothing.
 
 Orders are cut into ranges of (tree, signature, id), so a third of all rows with one prefix spread over
 many tasks; the rows next to a cut are compared in a second small join. Each text is first confirmed with
@@ -190,10 +189,17 @@ def candidates(classes: DataFrame, f: Forest) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("score").alias("score"))
 
 
+def _sized(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+    """df, whose last shuffle's partitions are read by as many tasks as about that many rows are worth."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(1, -(-rows // per_task))) if rows < per_task * most else df
+
+
 def _across_components(classes: DataFrame, f: Forest, percent: int) -> DataFrame:
     """classes(id, sig, component) to pairs (a < b) in different components that share a region of some tree."""
     total, width = f.trees * f.depth, 2 * f.depth
     turned = lambda depth: F.substring(F.concat("sig", "sig"), F.col("tree") * width + 1, F.lit(2 * depth))
+    classes = saved(classes, "placed")
     rows = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(f.trees - 1)))).select("id", "sig", "component", "tree")
     depths, found = [f.least], None
     while depths[-1] < total:
@@ -204,13 +210,13 @@ def _across_components(classes: DataFrame, f: Forest, percent: int) -> DataFrame
         sizes = parts.groupBy("region").agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("component", F.struct("count", "component")).alias("largest"))
         sizes = sizes.filter("n > most").select(F.col("region").alias("at"), (F.col("n") - F.col("most")).alias("others"), "largest")
         live = placed.join(sizes, F.col("region") == F.col("at")).drop("at")
-        live = saved(live, "crowded")
+        live = saved(_sized(live, rows.count()), "crowded")
         ready = live.filter(F.col("others") <= f.outside)
         sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.check)).alias(name)
         few = ready.filter(F.col("component") != F.col("largest")).select("region", F.col("id").alias("x"), F.col("component").alias("cx"), sketch("sx"))
         all_ = ready.select("region", F.col("id").alias("y"), F.col("component").alias("cy"), sketch("sy"), (F.col("component") != F.col("largest")).alias("both"))
         met = few.join(all_, "region").filter((F.col("cx") != F.col("cy")) & (~F.col("both") | (F.col("x") < F.col("y")))).select("x", "y", "sx", "sy")
-        pairs = met.mapInArrow(_alike(f.check * (percent / 100 - f.slack)), "a long, b long")
+        pairs = _sized(met, live.count()).mapInArrow(_alike(f.check * (percent / 100 - f.slack)), "a long, b long")
         found = pairs if found is None else found.unionByName(pairs)
         rows = live.filter(F.col("others") > f.outside).select("id", "sig", "component", "tree")
         if not rows.limit(1).count():
@@ -352,16 +358,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, forest: Forest = Forest(
     rest = rest.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
     links = saved(links.unionByName(confirmed(rest, texts, percent, forest.width)), "links")
     roots = components(links)
-    tested = pairs.select("a", "b")
-    while True:  # until crowded regions give no further link
-        placed = classes.select("id", "sig").join(roots.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select("id", "sig", F.coalesce("root", "id").alias("component"))
-        more = saved(_across_components(placed, forest, percent).join(tested, ["a", "b"], "left_anti"), "candidates")
-        if not more.limit(1).count():
-            break
-        new = saved(confirmed(more, _packed_texts(rows, _ends(more)), percent, forest.width), "links")
-        if not new.limit(1).count():
-            break
-        links, tested = links.unionByName(new), tested.unionByName(more)
+    placed = classes.select("id", "sig").join(roots.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select("id", "sig", F.coalesce("root", "id").alias("component"))
+    more = saved(_across_components(placed, forest, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+    if more.limit(1).count():
+        links = saved(links.unionByName(confirmed(more, _packed_texts(rows, _ends(more)), percent, forest.width)), "links")
         roots = components(links)
     heads = classes.select("k1", "k2", F.col("id").alias("head")).join(roots, F.col("head") == F.col("id"), "left").select("k1", "k2", F.coalesce("root", "head").alias("component"))
     out = signed.join(heads.withColumnsRenamed({"k1": "c1", "k2": "c2"}), (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n") > 0), "left")
