@@ -205,11 +205,12 @@ def _across_components(classes: DataFrame, f: Forest, percent: int) -> DataFrame
     while depths[-1] < total:
         depths.append(min(total, depths[-1] + max(2, depths[-1] // 2)))
     for depth in depths:
-        placed = rows.withColumn("region", F.xxhash64("tree", turned(depth)))
+        placed = rows.withColumn("region", F.xxhash64("tree", turned(depth))).select("region", "id", "component", "tree")
         parts = placed.groupBy("region", "component").count()
         sizes = parts.groupBy("region").agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("component", F.struct("count", "component")).alias("largest"))
         sizes = sizes.filter("n > most").select(F.col("region").alias("at"), (F.col("n") - F.col("most")).alias("others"), "largest")
-        live = placed.join(sizes, F.col("region") == F.col("at")).drop("at")
+        # Signatures stay behind until it is known which few rows are in question.
+        live = placed.join(sizes, F.col("region") == F.col("at")).drop("at").join(classes.select("id", "sig"), "id")
         live = saved(_sized(live, rows.count()), "crowded")
         ready = live.filter(F.col("others") <= f.outside)
         sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.check)).alias(name)
