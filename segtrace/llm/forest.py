@@ -200,6 +200,7 @@ def _across_components(classes: DataFrame, f: Forest, percent: int) -> DataFrame
     total, width = f.trees * f.depth, 2 * f.depth
     turned = lambda depth: F.substring(F.concat("sig", "sig"), F.col("tree") * width + 1, F.lit(2 * depth))
     classes = saved(classes, "placed")
+    n_classes = classes.count()
     rows = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(f.trees - 1)))).select("id", "sig", "component", "tree")
     depths, found = [f.least], None
     while depths[-1] < total:
@@ -211,7 +212,7 @@ def _across_components(classes: DataFrame, f: Forest, percent: int) -> DataFrame
         sizes = sizes.filter("n > most").select(F.col("region").alias("at"), (F.col("n") - F.col("most")).alias("others"), "largest")
         # Signatures stay behind until it is known which few rows are in question.
         live = placed.join(sizes, F.col("region") == F.col("at")).drop("at").join(classes.select("id", "sig"), "id")
-        live = saved(_sized(live, rows.count()), "crowded")
+        live = saved(_sized(live, max(rows.count(), n_classes)), "crowded")
         ready = live.filter(F.col("others") <= f.outside)
         sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.check)).alias(name)
         few = ready.filter(F.col("component") != F.col("largest")).select("region", F.col("id").alias("x"), F.col("component").alias("cx"), sketch("sx"))
