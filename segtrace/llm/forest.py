@@ -9,9 +9,10 @@ can't be near the threshold; what is left is confirmed on full sets of shingles.
 
 A window misses partners where a region is crowded. So regions (classes with a common prefix in some tree) that
 still hold several components are gone through once more: each class outside a region's largest component meets the
-others there that are in other components. A region with more than `outside` such classes is cut by a longer
-prefix first, as long as need be, running on through the other trees' values; so each class meets a bounded
-number of others in a tree, whatever the region's size, and regions that are one component cost nothing.
+others there that are in other components. Where more than `outside` classes stand outside, that would be too many
+pairs; the classes of such regions are joined exactly instead, on the rarest shingles of each set (a prefix filter).
+Every pair in different components that shares a region is thus looked at in one pass, so links found by it can't
+make a second pass find more; regions that are one component cost nothing.
 
 Orders are cut into ranges of (tree, signature, id), so a third of all rows with one prefix spread over
 many tasks; the rows next to a cut are compared in a second small join. Each text is first confirmed with
@@ -195,35 +196,68 @@ def _sized(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
     return df.coalesce(max(1, -(-rows // per_task))) if rows < per_task * most else df
 
 
-def _across_components(classes: DataFrame, f: Forest, percent: int) -> DataFrame:
-    """classes(id, sig, component) to pairs (a < b) in different components that share a region of some tree."""
-    total, width = f.trees * f.depth, 2 * f.depth
-    turned = lambda depth: F.substring(F.concat("sig", "sig"), F.col("tree") * width + 1, F.lit(2 * depth))
+def _across_components(classes: DataFrame, f: Forest, percent: int) -> tuple[DataFrame, DataFrame]:
+    """classes(id, sig, component) to pairs (a < b) in different components that share a region of some tree, and to the
+    classes (id, component) of regions with more than `outside` classes outside the largest component, left to _exact_pairs."""
+    width = 2 * f.depth
+    turned = F.substring("sig", F.col("tree") * width + 1, F.lit(2 * f.least))
     classes = saved(classes, "placed")
     n_classes = classes.count()
     rows = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(f.trees - 1)))).select("id", "sig", "component", "tree")
-    depths, found = [f.least], None
-    while depths[-1] < total:
-        depths.append(min(total, depths[-1] + max(2, depths[-1] // 2)))
-    for depth in depths:
-        placed = rows.withColumn("region", F.xxhash64("tree", turned(depth))).select("region", "id", "component", "tree")
-        parts = placed.groupBy("region", "component").count()
-        sizes = parts.groupBy("region").agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("component", F.struct("count", "component")).alias("largest"))
-        sizes = sizes.filter("n > most").select(F.col("region").alias("at"), (F.col("n") - F.col("most")).alias("others"), "largest")
-        # Signatures stay behind until it is known which few rows are in question.
-        live = placed.join(sizes, F.col("region") == F.col("at")).drop("at").join(classes.select("id", "sig"), "id")
-        live = saved(_sized(live, max(rows.count(), n_classes)), "crowded")
-        ready = live.filter(F.col("others") <= f.outside)
-        sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.check)).alias(name)
-        few = ready.filter(F.col("component") != F.col("largest")).select("region", F.col("id").alias("x"), F.col("component").alias("cx"), sketch("sx"))
-        all_ = ready.select("region", F.col("id").alias("y"), F.col("component").alias("cy"), sketch("sy"), (F.col("component") != F.col("largest")).alias("both"))
-        met = few.join(all_, "region").filter((F.col("cx") != F.col("cy")) & (~F.col("both") | (F.col("x") < F.col("y")))).select("x", "y", "sx", "sy")
-        pairs = _sized(met, live.count()).mapInArrow(_alike(f.check * (percent / 100 - f.slack)), "a long, b long")
-        found = pairs if found is None else found.unionByName(pairs)
-        rows = live.filter(F.col("others") > f.outside).select("id", "sig", "component", "tree")
-        if not rows.limit(1).count():
-            break
-    return found.distinct()
+    placed = rows.withColumn("region", F.xxhash64("tree", turned)).select("region", "id", "component", "tree")
+    parts = placed.groupBy("region", "component").count()
+    sizes = parts.groupBy("region").agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("component", F.struct("count", "component")).alias("largest"))
+    sizes = sizes.filter("n > most").select(F.col("region").alias("at"), (F.col("n") - F.col("most")).alias("others"), "largest")
+    live = saved(placed.join(sizes, F.col("region") == F.col("at")).drop("at"), "crowded")
+    # Signatures stay behind until it is known which few rows are in question.
+    ready = live.filter(F.col("others") <= f.outside).join(classes.select("id", "sig"), "id")
+    ready = saved(_sized(ready, n_classes * f.trees), "ready")
+    sketch = lambda name: F.substring(F.concat("sig", "sig"), (F.col("tree") + 1) * width + 1, F.lit(2 * f.check)).alias(name)
+    few = ready.filter(F.col("component") != F.col("largest")).select("region", F.col("id").alias("x"), F.col("component").alias("cx"), sketch("sx"))
+    all_ = ready.select("region", F.col("id").alias("y"), F.col("component").alias("cy"), sketch("sy"), (F.col("component") != F.col("largest")).alias("both"))
+    met = few.join(all_, "region").filter((F.col("cx") != F.col("cy")) & (~F.col("both") | (F.col("x") < F.col("y")))).select("x", "y", "sx", "sy")
+    pairs = _sized(met, ready.count()).mapInArrow(_alike(f.check * (percent / 100 - f.slack)), "a long, b long")
+    return pairs.distinct(), saved(live.filter(F.col("others") > f.outside).select("id", "component").distinct(), "over")
+
+
+def _exact_pairs(crowd: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """All pairs (a < b) of crowd(id, component) in different components whose sets can be near enough.
+
+    With its shingles ordered by how few sets have them, a set of n shares one of its first n - ceil(n * percent / 100) + 1
+    with any set that near. Sets that meet so are left out only where sizes or positions rule them out. Shingles
+    that one set alone has come first and meet nobody, so they are counted but not kept.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener = zstandard.ZstdDecompressor()
+        with np.errstate(over="ignore"):
+            for whole in batches:
+                for batch in (whole.slice(k, 64) for k in range(0, len(whole), 64)):
+                    words = pa.array([opener.decompress(x).decode() for x in batch.column(1).to_pylist()], pa.string())
+                    sets = _shingle_hashes(words, width)
+                    sizes = np.array([len(x) for x in sets], np.int64)
+                    keys = np.array([mix(x).sum(dtype=_U) for x in sets], _U)  # an id may have several texts
+                    cols = [np.repeat(x, sizes) for x in (batch.column(0).to_numpy(), keys.view(np.int64), sizes)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "key", "n", "h"])
+
+    some = texts.join(crowd.select("id"), "id", "left_semi").select("id", "packed")
+    sets = saved(some.mapInArrow(cut, "id long, key long, n long, h long"), "sets")
+    counts = sets.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").withColumnRenamed("h", "of")
+    held = sets.join(counts, F.col("h") == F.col("of")).groupBy("id", "key", "n").agg(F.sort_array(F.collect_set(F.struct("df", "h"))).alias("held"))
+    alone = F.col("n") - F.size("held")
+    first = F.greatest(F.lit(0), F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1 - alone).cast("int")
+    marks = held.select("id", "n", alone.alias("alone"), F.posexplode(F.slice("held", F.lit(1), first)).alias("k", "mark"))
+    marks = marks.select("id", "n", (F.col("n") - F.col("alone") - F.col("k")).alias("rest"), F.col("mark.h").alias("h")).join(crowd, "id")
+    marks = saved(marks, "marks")
+    parts = marks.groupBy("h", "component").count()
+    sizes = parts.groupBy("h").agg(F.sum("count").alias("total"), F.max("count").alias("most"), F.max_by("component", F.struct("count", "component")).alias("largest"))
+    live = marks.join(sizes.filter("total > most").select(F.col("h").alias("at"), "largest"), F.col("h") == F.col("at")).withColumn("both", F.col("component") != F.col("largest"))
+    live = saved(live.drop("at", "largest"), "marks")
+    x = live.filter("both").select("h", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("rest").alias("rx"))
+    y = live.select("h", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("rest").alias("ry"), "both")
+    near = (F.col("cx") != F.col("cy")) & (~F.col("both") | (F.col("x") < F.col("y")))
+    near &= (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent) & (F.least("rx", "ry") * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent)
+    return x.join(y, "h").filter(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _alike(least: float):
@@ -361,10 +395,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, forest: Forest = Forest(
     links = saved(links.unionByName(confirmed(rest, texts, percent, forest.width)), "links")
     roots = components(links)
     placed = classes.select("id", "sig").join(roots.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select("id", "sig", F.coalesce("root", "id").alias("component"))
-    more = saved(_across_components(placed, forest, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+    more, crowd = _across_components(placed, forest, percent)
+    known = pairs.select("a", "b")
+    more = saved(more.join(known, ["a", "b"], "left_anti"), "candidates")
     if more.limit(1).count():
         links = saved(links.unionByName(confirmed(more, _packed_texts(rows, _ends(more)), percent, forest.width)), "links")
         roots = components(links)
+    if crowd.limit(1).count():
+        texts = _packed_texts(rows, crowd.select("id").distinct())
+        now = crowd.select("id").join(roots.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select("id", F.coalesce("root", "id").alias("component")).distinct()
+        more = saved(_exact_pairs(saved(now, "over"), texts, percent, forest.width).join(known.unionByName(more), ["a", "b"], "left_anti"), "candidates")
+        if more.limit(1).count():
+            links = saved(links.unionByName(confirmed(more, texts, percent, forest.width)), "links")
+            roots = components(links)
     heads = classes.select("k1", "k2", F.col("id").alias("head")).join(roots, F.col("head") == F.col("id"), "left").select("k1", "k2", F.coalesce("root", "head").alias("component"))
     out = signed.join(heads.withColumnsRenamed({"k1": "c1", "k2": "c2"}), (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n") > 0), "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

@@ -59,6 +59,29 @@ def test_planted_groups(spark, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_crowded_region_loses_no_link(spark):
+    """Variants of one text that are alike but not linked crowd every region, and windows find nothing (sketch_least)."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base, docs = [word() for _ in range(400)], []
+
+    def changed(text, n):
+        text = list(text)
+        for k in rng.sample(range(0, 400, 5), n):
+            text[k] = word()
+        return text
+
+    for _ in range(50):
+        one = changed(base, 9)
+        docs += [one, changed(one, 7)]
+    docs = [(k, " ".join(t)) for k, t in enumerate(docs)]
+    rng.shuffle(docs)
+    want = brute(docs, 80)
+    assert len({c for _, c in want.values()}) > 25  # many components stay apart
+    got = near_duplicates(docs_frame(spark, docs), 80, Forest(sketch_least=25, outside=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_odd_rows(spark):
     got = near_duplicates(docs_frame(spark, DOCS)).collect()
     assert len(got) == len(DOCS)
