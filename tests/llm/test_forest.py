@@ -72,13 +72,13 @@ def test_crowded_region_loses_no_link(spark):
         return text
 
     for _ in range(50):
-        one = changed(base, 9)
-        docs += [one, changed(one, 7)]
+        one = changed(base, 6)
+        docs += [one, changed(one, 8)]
     docs = [(k, " ".join(t)) for k, t in enumerate(docs)]
     rng.shuffle(docs)
     want = brute(docs, 80)
     assert len({c for _, c in want.values()}) > 25  # many components stay apart
-    got = near_duplicates(docs_frame(spark, docs), 80, Forest(sketch_least=25, outside=2)).collect()
+    got = near_duplicates(docs_frame(spark, docs), 80, Forest(sketch_least=25, outside=1)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
