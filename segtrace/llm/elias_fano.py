@@ -134,16 +134,41 @@ def write_arrays(uri: str, arrays: dict[str, np.ndarray], attempt: int = 0) -> N
     store.move(f"{path}.{attempt}.tmp", path)
 
 
-def read_arrays(uri: str) -> dict[str, np.ndarray]:
-    """Memory-mapped where the shared folder is mounted, else read once by this process."""
-    from pyarrow import fs
-
-    store, path = file_system(uri)
-    if isinstance(store, fs.LocalFileSystem):
-        data = pa.memory_map(path).read_buffer()
-    else:
-        with store.open_input_file(path) as source:
-            data = source.read_buffer()
-    n = int.from_bytes(data.slice(0, 8).to_pybytes(), "little")
-    head, start = json.loads(data.slice(8, n).to_pybytes()), -(-(8 + n) // 64) * 64
-    return {name: np.frombuffer(data, np.dtype(kind), size, start + at) for name, (kind, size, at) in head.items()}
+class Arrays:
+    """The arrays of one file by name: slices of a memory map where the folder is mounted, else each read by its range
+    when it is first asked for. size: the bytes of the file."""
+
+    def __init__(self, uri: str):
+        from pyarrow import fs
+
+        self._store, self._path = file_system(uri)
+        self._data = pa.memory_map(self._path).read_buffer() if isinstance(self._store, fs.LocalFileSystem) else None
+        n = int.from_bytes(self._bytes(0, 8), "little")
+        self._head, self._start = json.loads(bytes(self._bytes(8, n))), -(-(8 + n) // 64) * 64
+        self.size = self._start + sum(-(-np.dtype(kind).itemsize * size // 64) * 64 for kind, size, _ in self._head.values())
+        self._known: dict[str, np.ndarray] = {}
+        self._coded: dict[str, EliasFano] = {}
+
+    def _bytes(self, at: int, n: int):
+        if self._data is not None:
+            return memoryview(self._data)[at : at + n]
+        with self._store.open_input_file(self._path) as source:
+            return source.read_at(n, at)
+
+    def __iter__(self):
+        return iter(self._head)
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        if name not in self._known:
+            kind, size, at = self._head[name]
+            self._known[name] = np.frombuffer(self._bytes(self._start + at, np.dtype(kind).itemsize * size), np.dtype(kind), size)
+        return self._known[name]
+
+    def coded(self, name: str) -> EliasFano:
+        if name not in self._coded:
+            self._coded[name] = EliasFano.of(self, name)
+        return self._coded[name]
+
+
+def read_arrays(uri: str) -> Arrays:
+    return Arrays(uri)

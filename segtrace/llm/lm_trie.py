@@ -14,8 +14,13 @@ Probabilities are interpolated Witten-Bell: with c of a context's C followers, T
 P(w | context) = c / (C + T) + T / (C + T) * P(w | shorter context), down to (c(w) + 1) / (N + V + 1).
 Levels 2 and 3 are quantised to 8 bits of log10, so the sum over words is 1 but for that rounding.
 
-Scoring. Tasks map the files into memory and look up the distinct pairs and triples of a few thousand
-documents at a time, in order. Only pages that are touched are read, and all tasks of a machine share them.
+Memory. A task holds about `tokens_per_block` tokens while it gathers triples, one shard (about `tokens_per_shard`
+tokens) while it builds a level, and at most `open_bytes` of opened files, the least recently used of which go first.
+Where each level is cut is itself a file (`index`), so what is sent to a task doesn't grow with the corpus.
+
+Scoring. Tasks map the files into memory and look up the distinct pairs and triples of a few megabytes of
+texts at a time, in order. Only pages that are touched are read, and all tasks of a machine share them; where the
+shared folder isn't mounted, only the arrays that a lookup needs are read, each by its range.
 
 Defined cases: a null or empty text has one token, the end; null ids are scored but not learnt from; repeated
 rows count each; an empty training set gives every token 1 / (0 + 0 + 1); other columns are ignored.
@@ -23,8 +28,9 @@ rows count each; an empty training set gives every token 1 / (0 + 0 + 1); other
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -86,45 +92,56 @@ def _unpack(blob: bytes, n: int, *kinds: type) -> list[np.ndarray]:
 
 @dataclass
 class Trie:
-    """Where the levels are and how they are cut; the arrays are mapped when first used, in each process."""
+    """Where the levels are and how they are cut; the arrays are mapped when first used, in each process.
+
+    The index file holds the first number of each part of level 1 (word_base), of each shard in level 2 (pair_base) and
+    in level 3 (space_base), and the pairs before each part of level 1 (follow_base), each with an end.
+    """
 
     folder: str
     total: int  # N: training tokens
     texts: int  # training texts: tokens that begin one
     word_bits: int  # level 1 is cut by the first bits of the hash
-    word_base: list[int]  # first number of each part of level 1, and one past the last
+    size: int  # numbers given to words, the end and the begin mark included
     shards: int
-    pair_base: list[int] = field(default_factory=list)  # the same for level 2 (as found by counting)
-    space_base: list[int] = field(default_factory=list)  # first value of each shard in level 3
-    follow_base: list[int] = field(default_factory=list)  # pairs before each part of level 1
+    index: str = ""
     step: float = 1 / 32  # of log10, between quantised values
+    open_bytes: int = 128 << 20
 
     def __post_init__(self):
-        self._open: dict[str, dict] = {}
+        self._open: OrderedDict[str, dict] = OrderedDict()
+        self._held = 0
 
     def __getstate__(self):
-        return self.__dict__ | {"_open": {}}
+        return self.__dict__ | {"_open": OrderedDict(), "_held": 0}
 
-    @property
-    def size(self) -> int:
-        """Numbers given to words, the end and the begin mark included."""
-        return self.word_base[-1]
+    def indexed(self, **bases: np.ndarray) -> Trie:
+        """The same trie with an index file of these arrays beside those it has."""
+        name = f"index{len(self.index)}"
+        known = {k: self.part(self.index)[k] for k in self.part(self.index)} if self.index else {}
+        write_arrays(f"{self.folder}/{name}.bin", known | {k: np.asarray(v, np.int64) for k, v in bases.items()})
+        return replace(self, index=name)
+
+    def base(self, name: str) -> np.ndarray:
+        return self.part(self.index)[name]
 
     @property
     def vocabulary(self) -> int:
         return max(0, self.size - 1)
 
-    def part(self, level: str, k: int) -> dict:
-        key = f"{level}-{k:06d}"
-        if key not in self._open:
-            self._open[key] = read_arrays(f"{self.folder}/{key}.bin")
-        return self._open[key]
+    def part(self, level: str, k: int | None = None) -> dict:
+        key = level if k is None else f"{level}-{k:06d}"
+        if key in self._open:
+            self._open.move_to_end(key)
+            return self._open[key]
+        arrays = self._open[key] = read_arrays(f"{self.folder}/{key}.bin")
+        self._held += arrays.size
+        while self._held > self.open_bytes and len(self._open) > 1:
+            self._held -= self._open.popitem(last=False)[1].size
+        return arrays
 
     def coded(self, level: str, k: int, name: str) -> EliasFano:
-        arrays = self.part(level, k)
-        if f"{name}*" not in arrays:
-            arrays[f"{name}*"] = EliasFano.of(arrays, name)
-        return arrays[f"{name}*"]
+        return self.part(level, k).coded(name)
 
     def part_of(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> _U(64 - self.word_bits)).astype(np.int64) if self.word_bits else np.zeros(len(hashes), np.int64)
@@ -133,17 +150,19 @@ class Trie:
         """Numbers of (any) hashes, -1 where unknown."""
         order = np.argsort(hashes)
         ranked, out = hashes[order], np.full(len(hashes), -1, np.int64)
+        base = self.base("word_base")
         for k, cut in _pieces(self.part_of(ranked)):
-            if self.word_base[k + 1] > self.word_base[k]:
+            if base[k + 1] > base[k]:
                 found = self.coded("words", k, "hash").find(ranked[cut] & _U((1 << (64 - self.word_bits)) - 1))
-                out[order[cut]] = np.where(found < 0, -1, found + self.word_base[k])
+                out[order[cut]] = np.where(found < 0, -1, found + base[k])
         return out
 
     def _words(self, ids: np.ndarray, look: Callable[[int, np.ndarray], np.ndarray], kind: type) -> np.ndarray:
         order = np.argsort(ids)
         ranked, out = ids[order], np.zeros(len(ids), kind)
-        for k, cut in _pieces(np.searchsorted(self.word_base, ranked, side="right") - 1):
-            out[order[cut]] = look(k, ranked[cut] - self.word_base[k])
+        base = self.base("word_base")
+        for k, cut in _pieces(np.searchsorted(base, ranked, side="right") - 1):
+            out[order[cut]] = look(k, ranked[cut] - base[k])
         return out
 
     def counts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +171,8 @@ class Trie:
 
     def followers(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First pair of words in level 2, and one past their last."""
-        return tuple(self._words(ids, lambda k, i, step=step: self.coded("follow", k, "first").get(i + step).astype(np.int64) + self.follow_base[k], np.int64) for step in (0, 1))
+        base = self.base("follow_base")
+        return tuple(self._words(ids, lambda k, i, step=step: self.coded("follow", k, "first").get(i + step).astype(np.int64) + base[k], np.int64) for step in (0, 1))
 
     def keys(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return first.astype(_U) * _U(self.size) + second.astype(_U)
@@ -164,13 +184,13 @@ class Trie:
 
     def pairs(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
         """Index in level 2 of rising keys, -1 where absent."""
-        out = np.full(len(keys), -1, np.int64)
+        out, first = np.full(len(keys), -1, np.int64), self.base("pair_base")
         for k, cut in _pieces(shard):
-            if self.pair_base[k + 1] > self.pair_base[k]:
+            if first[k + 1] > first[k]:
                 base = _U(self.part("pairs", k)["base"][0])
                 near = keys[cut] >= base
                 found = self.coded("pairs", k, "key").find(np.where(near, keys[cut] - base, 0))
-                out[cut] = np.where(near & (found >= 0), found + self.pair_base[k], -1)
+                out[cut] = np.where(near & (found >= 0), found + first[k], -1)
         return out
 
     def quantise(self, p: np.ndarray) -> np.ndarray:
@@ -192,8 +212,10 @@ def _blocks(trie: Trie, flush: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
         def out() -> pa.RecordBatch:
             key, third, shard = (np.concatenate(x) for x in zip(*kept, strict=True))
+            kept.clear()
             order = np.lexsort((third, key))
             key, third, shard = key[order], third[order], shard[order]
+            del order
             first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (third[1:] != third[:-1])))
             many = np.diff(np.append(first, len(key))).astype(np.uint32)
             key, third, shard = key[first], third[first], shard[first]
@@ -211,11 +233,12 @@ def _blocks(trie: Trie, flush: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             prev[starts], pc_[starts], pb[starts] = begin[0], begin_count[0], begin_before[0]
             third = np.roll(word, -1)
             third[np.cumsum(size) - 1] = trie.size  # nothing follows the end
-            kept.append((trie.keys(prev, word), third.astype(np.uint32), trie.shard_of(pc_, pb, c, b)))
+            kept.append((trie.keys(prev, word), third.astype(np.uint32), trie.shard_of(pc_, pb, c, b).astype(np.int32)))
             held += len(word)
+            del word, c, b, prev, pc_, pb, third
             if held >= flush:
                 yield out()
-                kept, held = [], 0
+                held = 0
         if kept:
             yield out()
 
@@ -250,7 +273,7 @@ def _pair_level(trie: Trie) -> Callable:
         write_arrays(f"{trie.folder}/triples-{shard:06d}.bin", {"n": arrays["n"], "triples": triples, "follow": follow}, _attempt())
         word = (pair // _U(trie.size)).astype(np.int64)
         at = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-        part = np.searchsorted(trie.word_base, word[at], side="right") - 1
+        part = np.searchsorted(trie.base("word_base"), word[at], side="right") - 1
         rows = [(shard, len(pair), None, None, None), *((shard, None, p, w, k) for p, w, k in zip(part.tolist(), word[at].tolist(), np.diff(np.append(at, len(word))).tolist(), strict=True))]
         return pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["shard", "n", "part", "word", "follow"])
 
@@ -261,9 +284,9 @@ def _follow_level(trie: Trie) -> Callable:
     """(part, word, follow) of one part of level 1 to its pointers; returns (part, pairs)."""
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
-        part = key[0].as_py()
-        many = np.zeros(trie.word_base[part + 1] - trie.word_base[part], np.int64)
-        many[table["word"].to_numpy() - trie.word_base[part]] = table["follow"].to_numpy()
+        part, base = key[0].as_py(), trie.base("word_base")
+        many = np.zeros(base[part + 1] - base[part], np.int64)
+        many[table["word"].to_numpy() - base[part]] = table["follow"].to_numpy()
         first = np.append(0, np.cumsum(many)).astype(_U)
         write_arrays(f"{trie.folder}/follow-{part:06d}.bin", EliasFano.encode(first, int(first[-1])).arrays("first"), _attempt())
         return pa.table({"part": pa.array([part], pa.int64()), "pairs": pa.array([int(first[-1])], pa.int64())})
@@ -275,16 +298,16 @@ def _triple_level(trie: Trie) -> Callable:
     """Shard numbers to the final level 2 and 3 of each; returns (shard, space): the values level 3 reaches over."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = trie.base("pair_base")
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 space = 0
-                if trie.pair_base[shard + 1] > trie.pair_base[shard]:
-                    space = solve(shard)
+                if base[shard + 1] > base[shard]:
+                    space = solve(shard, int(base[shard + 1] - base[shard]))
                 yield pa.RecordBatch.from_pydict({"shard": [shard], "space": [space]})
 
-    def solve(shard: int) -> int:
+    def solve(shard: int, n: int) -> int:
         base = _U(trie.part("pairs", shard)["base"][0])
-        n = trie.pair_base[shard + 1] - trie.pair_base[shard]
         pair = trie.coded("pairs", shard, "key").get(np.arange(n)) + base
         first, second = (pair // _U(trie.size)).astype(np.int64), (pair % _U(trie.size)).astype(np.int64)
         kept = trie.part("triples", shard)
@@ -325,7 +348,14 @@ def _triple_level(trie: Trie) -> Callable:
     return build
 
 
-def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_000_000, tokens_per_shard: int = 2_000_000) -> Trie:
+def _ends(sizes: DataFrame, key: str, value: str, n: int) -> np.ndarray:
+    """0 and the running sums of sizes(key 0 .. n - 1, value), two numbers for each part or shard."""
+    got, out = sizes.select(key, value).toArrow(), np.zeros(n + 1, np.int64)
+    out[got[key].to_numpy() + 1] = got[value].to_numpy()
+    return np.cumsum(out)
+
+
+def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_000_000, tokens_per_shard: int = 1_000_000, tokens_per_block: int = 400_000) -> Trie:
     """Count the texts of docs and write the levels of their trie to a new folder in the shared one."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "trie")
     texts = own(docs, text=text_col)
@@ -339,18 +369,15 @@ def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_
     words = saved(texts.mapInArrow(count, "hash long, count long").groupBy("hash").agg(F.sum("count").alias("count")), "words")
     n, total = words.agg(F.count("*"), F.sum("count")).first()
     if not n:
-        return Trie(folder, 0, 0, 0, [0, 0], 1, [0, 0], [0, 0], [0, 0])
+        return Trie(folder, 0, 0, 0, 0, 1)
     n_texts = words.filter(F.col("hash") == BEGIN).first()["count"]
     total -= n_texts
     bits = max(0, (-(-n // words_per_part) - 1).bit_length())
     part = F.shiftrightunsigned("hash", 64 - bits) if bits else F.lit(0).cast("long")
     by_part = words.withColumn("part", part)
-    base, before = [0], [0]
-    sums = {r["part"]: r for r in by_part.groupBy("part").agg(F.count("*").alias("n"), F.sum("count").alias("c")).collect()}
-    for k in range(1 << bits):
-        base.append(base[-1] + (sums[k]["n"] if k in sums else 0))
-        before.append(before[-1] + (sums[k]["c"] if k in sums else 0))
-    trie = Trie(folder, total, n_texts, bits, base, max(1, -(-total // tokens_per_shard)), step=max(1 / 32, np.log10(total + 2) / 255))
+    sums = saved(by_part.groupBy("part").agg(F.count("*").alias("n"), F.sum("count").alias("c")), "parts")
+    base, before = _ends(sums, "part", "n", 1 << bits), _ends(sums, "part", "c", 1 << bits)
+    trie = Trie(folder, total, n_texts, bits, int(n), max(1, -(-total // tokens_per_shard)), step=max(1 / 32, np.log10(total + 2) / 255)).indexed(word_base=base, before=before)
 
     def write_words(key: tuple, table: pa.Table) -> pa.Table:
         k = key[0].as_py()
@@ -358,25 +385,21 @@ def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_
         order = np.argsort(hashes)
         many = many[order]
         low = hashes[order] & _U((1 << (64 - bits)) - 1)
-        arrays = EliasFano.encode(low, (1 << (64 - bits)) - 1).arrays("hash") | {"count": many, "before": before[k] + np.cumsum(many) - many}
+        arrays = EliasFano.encode(low, (1 << (64 - bits)) - 1).arrays("hash") | {"count": many, "before": trie.base("before")[k] + np.cumsum(many) - many}
         write_arrays(f"{folder}/words-{k:06d}.bin", arrays, _attempt())
         return pa.table({"part": pa.array([k], pa.int64())})
 
     saved(by_part.groupBy("part").applyInArrow(write_words, "part long"), "manifest")
-    blocks = texts.mapInArrow(_blocks(trie, tokens_per_shard), "shard long, n long, base long, block binary")
+    blocks = texts.mapInArrow(_blocks(trie, tokens_per_block), "shard long, n long, base long, block binary")
     found = saved(blocks.groupBy("shard").applyInArrow(_pair_level(trie), "shard long, n long, part long, word long, follow long"), "manifest")
-    sizes = {r["shard"]: r["n"] for r in found.filter(F.col("word").isNull()).select("shard", "n").collect()}
-    trie.pair_base = np.append(0, np.cumsum([sizes.get(k, 0) for k in range(trie.shards)])).tolist()
+    trie = trie.indexed(pair_base=_ends(found.filter(F.col("word").isNull()), "shard", "n", trie.shards))
     # Every part gets its pointers, also one whose words nothing follows: its first word is listed with none.
-    firsts = [(k, base[k], 0) for k in range(1 << bits) if base[k + 1] > base[k]]
+    firsts = [(k, int(base[k]), 0) for k in range(1 << bits) if base[k + 1] > base[k]]
     follow = found.filter(F.col("word").isNotNull()).select("part", "word", "follow").unionByName(spark.createDataFrame(firsts, "part long, word long, follow long"))
     follow = follow.groupBy("part", "word").agg(F.sum("follow").alias("follow"))
-    ends = {r["part"]: r["pairs"] for r in saved(follow.groupBy("part").applyInArrow(_follow_level(trie), "part long, pairs long"), "manifest").collect()}
-    trie.follow_base = np.append(0, np.cumsum([ends.get(k, 0) for k in range(1 << bits)])).tolist()
+    trie = trie.indexed(follow_base=_ends(saved(follow.groupBy("part").applyInArrow(_follow_level(trie), "part long, pairs long"), "manifest"), "part", "pairs", 1 << bits))
     tasks = spark.range(0, trie.shards, 1, min(trie.shards, 100_000)).select(F.col("id").alias("shard"))
-    spaces = {r["shard"]: r["space"] for r in saved(tasks.mapInArrow(_triple_level(trie), "shard long, space long"), "manifest").collect()}
-    trie.space_base = np.append(0, np.cumsum([spaces.get(k, 0) for k in range(trie.shards)])).tolist()
-    return trie
+    return trie.indexed(space_base=_ends(saved(tasks.mapInArrow(_triple_level(trie), "shard long, space long"), "manifest"), "shard", "space", trie.shards))
 
 
 def score_batch(trie: Trie, column: pa.Array) -> dict[str, np.ndarray]:
@@ -411,14 +434,14 @@ def _interpolated(trie: Trie, codes: np.ndarray, ids: np.ndarray, count: np.ndar
     some[back] = at  # a place of each
     u, v = prev[some], codes[some]
     shard = trie.shard_of(count[u].astype(float), before[u].astype(float), count[v].astype(float), before[v].astype(float))
-    index = trie.pairs(keys, shard)
+    index, pair_base, space_base = trie.pairs(keys, shard), trie.base("pair_base"), trie.base("space_base")
     p2, mass2, space = np.zeros(len(keys)), np.ones(len(keys)), np.full(len(keys), -1, np.int64)
     for k, cut in _pieces(shard):
         hit = np.flatnonzero(index[cut] >= 0) + cut.start
         if len(hit):
-            arrays, local = trie.part("probs", k), index[hit] - trie.pair_base[k]
+            arrays, local = trie.part("probs", k), index[hit] - pair_base[k]
             p2[hit], mass2[hit] = trie.value(arrays["p2"][local]), trie.value(arrays["mass"][local])
-            space[hit] = trie.coded("probs", k, "first").get(local).astype(np.int64) + trie.space_base[k]
+            space[hit] = trie.coded("probs", k, "first").get(local).astype(np.int64) + space_base[k]
     mass1 = np.where(count[prev] > 0, (hi - lo)[prev] / np.maximum(1, count[prev] + (hi - lo)[prev]), 1.0)
     mass1[ids[prev] < 0] = 1.0
     p = mass1 * p
@@ -436,8 +459,8 @@ def _interpolated(trie: Trie, codes: np.ndarray, ids: np.ndarray, count: np.ndar
     value = space[context[ahead]] + index[pair[ahead]] - lo[prev[ahead]]
     values, back3 = np.unique(value, return_inverse=True)
     p3 = np.zeros(len(values))
-    for k, cut in _pieces(np.searchsorted(trie.space_base, values, side="right") - 1):
-        local = trie.coded("probs", k, "rank").find((values[cut] - trie.space_base[k]).astype(_U))
+    for k, cut in _pieces(np.searchsorted(space_base, values, side="right") - 1):
+        local = trie.coded("probs", k, "rank").find((values[cut] - space_base[k]).astype(_U))
         hit = np.flatnonzero(local >= 0)
         p3[cut.start + hit] = trie.value(trie.part("probs", k)["p3"][local[hit]])
     p[ahead] += p3[back3]

@@ -41,6 +41,13 @@ def string_hashes(strings: pa.StringArray) -> np.ndarray:
     at = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
     text = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
     at -= at[0]
+    # A quarter of a megabyte at a time (or one longer string): the running sums and powers stay small.
+    group = at[:-1] >> 18
+    cuts = [*np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist(), len(strings)]
+    return np.concatenate([_hashes(text[at[a] : at[b]], at[a : b + 1] - at[a]) for a, b in zip(cuts, cuts[1:], strict=False)])
+
+
+def _hashes(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     power, inverse = _upto(len(text) + 1)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(text) + 1, _U)
