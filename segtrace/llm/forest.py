@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own, saved
-from .urls import WORDS, _address, build_filter
+from .urls import build_filter, probed
 from .words import mix, word_codes
 
 _U = np.uint64
@@ -277,12 +277,8 @@ def _packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, packed) of the documents named in ids(id): a Bloom filter of the ids keeps other texts from being shuffled."""
     n = ids.count()
     bloom, blocks = build_filter(ids.select(F.col("id").alias("key")), n)
-    block, masks = _address(F.col("id"), blocks)
-    hit = F.lit(True)
-    for k in range(WORDS):
-        hit = hit & (F.col(f"w{k}").bitwiseAND(masks[k]) == masks[k])
-    bloom = saved(bloom, "bloom").withColumnRenamed("block", "at")
-    some = docs.filter(F.col("id").isNotNull() & F.col("text").isNotNull()).withColumn("at", block).join(F.broadcast(bloom), "at").filter(hit).select("id", "text")
+    some = docs.filter(F.col("id").isNotNull() & F.col("text").isNotNull()).select("id", "text")
+    some = probed(some, F.col("id"), saved(bloom, "bloom"), blocks, "named").filter("named").select("id", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)

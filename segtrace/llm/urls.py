@@ -76,6 +76,16 @@ def build_filter(keys: DataFrame, n_keys: int, max_blocks: int = 1 << 17, keys_p
     return bits.groupBy("block").agg(*[F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS)]), blocks
 
 
+def probed(df: DataFrame, key: Column, bloom: DataFrame, blocks: int, out: str) -> DataFrame:
+    """df plus `out`: whether the filter may hold the key (it never says no to one it holds; a null key is never held)."""
+    block, masks = _address(key, blocks)
+    hit = key.isNotNull()
+    for k, m in enumerate(masks):
+        hit = hit & (F.col(f"w{k}").bitwiseAND(m) == m)
+    seen = df.withColumn("at", block).join(F.broadcast(bloom.withColumnRenamed("block", "at")), "at", "left")
+    return seen.select(*[f"`{c}`" for c in df.columns], F.coalesce(hit, F.lit(False)).alias(out))
+
+
 def listed_pages(pages: DataFrame, listed: DataFrame, max_blocks: int = 1 << 17) -> DataFrame:
     """pages(key, ...) plus `listed`: whether listed(key) has the key. Null keys are never listed."""
     keys = saved(listed.select("key").filter(F.col("key").isNotNull()).distinct(), "listed")
@@ -84,13 +94,8 @@ def listed_pages(pages: DataFrame, listed: DataFrame, max_blocks: int = 1 << 17)
         return pages.withColumn("listed", F.lit(False))
     bloom, blocks = build_filter(keys, n, max_blocks)
     bloom = saved(bloom, "bloom")
-    block, masks = _address(F.col("key"), blocks)
-    hit = F.lit(True)
-    for k, m in enumerate(masks):
-        hit = hit & (F.col(f"w{k}").bitwiseAND(m) == m)
     names = [f"`{c}`" for c in pages.columns]
-    seen = pages.withColumn("at", block).join(F.broadcast(bloom.withColumnRenamed("block", "at")), "at", "left")
-    seen = seen.withColumn("possible", F.coalesce(hit, F.lit(False)) & F.col("key").isNotNull()).select(*names, "possible")
+    seen = probed(pages, F.col("key"), bloom, blocks, "possible")
     exact = keys.select(F.col("key").alias("list_key"))
     checked = seen.filter("possible").join(exact, F.col("key") == F.col("list_key"), "left")
     return seen.filter(~F.col("possible")).select(*names, F.lit(False).alias("listed")).unionByName(checked.select(*names, F.col("list_key").isNotNull().alias("listed")))

@@ -1,7 +1,9 @@
 """WARC: exact round trip, pushed filters, odd pages; dialogues: SQL and small blocks."""
 
 import base64
+import gzip
 import hashlib
+import re
 
 from comparing import assert_same, duck
 from conftest_data import SF
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from segtrace.llm.perspective import rotate
 from segtrace.llm.queries import ORACLES, QUERIES
-from segtrace.llm.warc import WarcReader, archive_pages, page_records, read_warc
+from segtrace.llm.warc import WarcReader, archive_pages, page_records, read_warc, with_roles
 
 PAGES = [(1, "http://a", "x" * 5000), (2, "http://b", "x" * 5000), (3, None, None), (4, "u", ""), (5, "http://c\r\nEvil: 1", "é\n\r\n\r\nWARC/1.1\r\n"), (5, "again", "é\n\r\n\r\nWARC/1.1\r\n"), (None, "n", "y"), (7, "big", "z" * 5_000_000)]
 
@@ -43,13 +45,41 @@ def test_filters_are_pushed(spark):
     assert {r.page_id for r in plan.collect()} == {"1", "3"} and "payload" not in plan.columns
     from pyspark.sql.datasource import EqualTo, GreaterThan
 
-    reader = WarcReader(folder, False)
+    reader = WarcReader(folder)
     rest = list(reader.pushFilters([EqualTo(("record_type",), "revisit"), GreaterThan(("page_id",), "1")]))
     assert len(rest) == 1 and reader.wanted == {"record_type": {"revisit"}}
     rows = sum(len(b) for p in reader.partitions() for b in reader.read(p))
     assert rows == 2
 
 
+def test_unwanted_payloads_are_not_inflated(spark):
+    """Of a record that isn't wanted only the header's bytes are inflated; archives without lengths are read all the same."""
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "repeat(concat('text ', id, ' '), 20000) AS html").coalesce(1)
+    folder = archive_pages(pages)
+    brief, full = WarcReader(folder), WarcReader(folder, "true")
+    for reader, least in ((brief, 0), (full, 400 * 100_000)):
+        (part,) = reader.partitions()
+        assert sum(len(b) for b in reader.read(part)) == 400 and reader.inflated >= least
+    assert brief.inflated <= 400 * 2048
+    path = brief.partitions()[0].value
+    with gzip.open(path) as packed:
+        plain = packed.read()
+    assert plain.count(b"WARC/1.1\r\n") == 400  # the extra field is plain gzip to others
+    starts = [m.start() for m in re.finditer(rb"WARC/1\.1\r\n", plain)]
+    with open(path, "wb") as out:
+        for a, b in zip(starts, [*starts[1:], len(plain)], strict=True):
+            out.write(gzip.compress(plain[a:b]))
+    assert sum(len(b) for b in full.read(part)) == 400 == read_warc(spark, folder, payload=False).count()
+
+
+def test_many_repeated_payloads(spark):
+    """Beyond the broadcast the two filters give the same records, with payloads only where they belong."""
+    rows = [(k, f"http://{k}", f"body {k % 7}" if k % 3 else f"own {k}") for k in range(300)] + [(5, "again", "body 5"), (None, "n", "body 1"), (None, "m", "twice"), (None, "m", "twice"), (400, "null", None)]
+    pages = spark.createDataFrame(rows, "id long, url string, payload string")
+    few, many = (sorted(map(str, with_roles(pages, 3, broadcast_rows=n).collect())) for n in (1000, 0))
+    assert few == many and sum("revisit" in r for r in few) > 100
+
+
 def test_dialogues_equal_sql(spark):
     assert_same(QUERIES["op8_perspectives"](spark, SF), duck(SF), ORACLES["op8_perspectives"])
 
