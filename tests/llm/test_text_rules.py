@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+import zstandard
 from conftest_data import DOCS, SF, docs_frame
 
 from segtrace.llm.compression import Bands, keep_quality, quality_rules, repeated_words, text_counts
@@ -55,9 +56,9 @@ def test_bands_reject_both_ends(spark):
     noise = " ".join("".join(chr(rng.randint(33, 126)) for _ in range(9)) for _ in range(300))
     slow = " ".join(f"w{k % 3}{k // 3 % 7}" for k in range(2000))
     prose = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 5000 AND lang = 'en'").first().text
-    frame = docs_frame(spark, [(1, noise), (2, slow), (3, prose), *DOCS[2:]])
+    frame = docs_frame(spark, [(101, noise), (102, slow), (103, prose), *DOCS])
     got = {r.doc_id: r for r in quality_rules(frame, bands=Bands()).collect() if r.doc_id}
-    assert not got[1].in_band and not got[2].in_band and got[3].kept
+    assert not got[101].in_band and not got[102].in_band and got[103].kept
     assert got[4].base_failed and got[4].n_words == 0
     kept = keep_quality(frame)
     assert kept.columns == frame.columns
@@ -65,6 +66,26 @@ def test_bands_reject_both_ends(spark):
     assert quality_rules(docs_frame(spark, [])).count() == 0
 
 
+def test_ratios_and_bands_again(spark):
+    """Every document's ratio, chunks and verdict, computed once more without the operator's code."""
+    bands, packer = Bands(), zstandard.ZstdCompressor(level=3)
+    size = lambda raw: len(packer.compress(raw))
+    rows = {r.doc_id: r for r in QUERIES["op4_compression_bands"](spark, SF).collect()}
+    for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        r, raw = rows[d.doc_id], (d.text or "").encode()
+        ratio = size(raw) / len(raw) if raw else 0.0
+        pieces = [raw[k : k + bands.chunk] for k in range(0, len(raw), bands.chunk)]
+        if len(pieces) > 1 and len(pieces[-1]) < bands.chunk / 2:
+            pieces[-2:] = [pieces[-2] + pieces[-1]]
+        if len(raw) < bands.chunk:
+            pieces = []
+        low, high = (sum(f(size(p) / len(p)) for p in pieces) for f in (lambda x: x < bands.chunk_band[0], lambda x: x > bands.chunk_band[1]))
+        least, most = [(a, b) for n, a, b in bands.whole if len(raw) >= n][-1]
+        inside = least <= ratio <= most and low + high <= bands.max_bad_chunks * len(pieces)
+        assert (r.ratio, r.n_bytes, r.n_chunks, r.n_chunks_low, r.n_chunks_high, r.in_band) == (ratio, len(raw), len(pieces), low, high, inside)
+        assert r.kept == (inside and not r.base_failed)
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -92,6 +113,44 @@ def test_base_spans(seed):
     assert join_spans(find_spans(text, automaton()), BASE) == base(text)
 
 
+LOCAL = "[A-Za-z0-9._%+-]"
+SPACE = "\x20"
+MORE = {
+    "secret": [rf"(?i:api_key|api-key|apikey|access_key|auth_token|secret|token)[\"']?{SPACE}?(?:=>|[:=]){SPACE}?[\"']?([A-Za-z0-9_\-./+]{{16,}})",
+               rf"(?i:password|passwd|passwort|mot de passe|contraseña)[\"']?{SPACE}?(?:=>|[:=]){SPACE}?(?:\"([^\"\s]{{6,}})\"|'([^'\s]{{6,}})'|([^\s\"']{{6,}}))"],
+    "login": [r"://([^\s/?#@:\"'<>]+:[^\s/?#@\"'<>]+)(?=@[A-Za-z0-9])"],
+    "account": [rf"(?i:account number|account no|acct no|acct|kontonummer|numéro de compte|número de cuenta|passport no|passport number|ssn)\.?[:#={SPACE}]{{1,3}}([0-9](?:[{SPACE}-]?[0-9]){{5,19}})(?![0-9])"],
+}
+
+
+def further(text, kind):
+    """Spans of a further kind by plain search at every place."""
+    out = []
+    for pattern in MORE[kind]:
+        for k in range(len(text)):
+            if m := re.compile(pattern).match(text, k):
+                out.append(next(m.span(g) for g in range(1, m.re.groups + 1) if m[g] is not None))
+    return out
+
+
+def test_further_spans_again(spark):
+    """Whatever a plain search finds for secret, login and account is in some span of the kind, and each span is found by it."""
+    for d in spark.read.parquet(f"{SF}/documents.parquet").limit(120).collect():
+        spans = find_spans(d.text or "", automaton())
+        for kind in MORE:
+            want = further(d.text or "", kind)
+            assert set(spans[kind]) <= set(want)
+            assert all(any(a < y and x < b for x, y in spans[kind]) for a, b in want), (d.doc_id, kind)
+
+
+@pytest.mark.parametrize(("text", "kind", "piece"), [
+    ("password: hunter2!", "secret", "hunter2!"), ("passwd='a b c' password=\"s3cr3t\"", "secret", "s3cr3t"), ("please transfer it to DE89 3704 0044 0532 0130 00 today", "iban", "DE89 3704 0044 0532 0130 00"),
+    ("IBANs: GB29NWBK60161331926819.", "iban", "GB29NWBK60161331926819"), ("to DE88 3704 0044 0532 0130 00 today", "iban", None), ("xDE89370400440532013000", "iban", None), ("password: none", "secret", None),
+])
+def test_anchored_without_cue(text, kind, piece):
+    assert [text[a:b] for a, b in find_spans(text, automaton())[kind]] == ([piece] if piece else [])
+
+
 def test_pii_table(spark):
     rows = {r.doc_id: r for r in QUERIES["op9_pii"](spark, SF).collect()}
     for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
