@@ -6,8 +6,9 @@ to the present residuals and adds a small step of it to its table. A score is a
 looked up for whole batches of binned features at once.
 
 The features of all texts are computed by Spark, one row at a time. The tables are learnt from at most
-`max_rows` labelled rows, chosen by a hash of the id (a documented bound: the tables have some thousand
-entries, so more rows would not change them), so what the driver holds is bounded too.
+`max_rows` labelled rows (a documented bound, the only one: the tables have some thousand entries, so more rows would
+hardly change them): all of them, or those with the smallest hashes of id, label and features. So what the driver
+holds is bounded too, and reruns choose alike.
 
 Defined cases: a null or empty text has all-zero features and a score like any other; rows whose label is
 null or not 0 or 1 teach nothing; repeated label rows count each; without any labelled row every score
@@ -167,11 +168,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Per row of docs: id, held_out (crc32 of the id as text divisible by fold), score and predicted."""
     known = saved(features(docs, id_col, text_col), "features")
     taught = own(labels, id=id_col, label=label_col).filter(F.col("label").isin(0, 1) & (crc_mod("id", fold) != 0))
-    n = taught.count()
-    if n > max_rows:  # a fair, repeatable choice of about max_rows rows
-        taught = taught.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * 0.95 * max_rows / n))
     sample = known.join(taught.withColumnRenamed("id", "of"), F.col("id") == F.col("of")).select("id", "x", F.col("label").cast("int").alias("label"))
-    data = sample.limit(2 * max_rows).toArrow().to_pandas().sort_values(["id", "label"], kind="stable")
+    sample = saved(sample.withColumn("draw", F.xxhash64("id", "label", "x")), "taught")
+    if (n := sample.count()) > max_rows:
+        # Few more than max_rows come to the sort; were they ever fewer, it would only get fewer rows.
+        some = sample.filter(F.pmod("draw", F.lit(1 << 30)) < int(min(1.0, 1.1 * max_rows / n + 1000 / n) * (1 << 30)))
+        sample = some.orderBy("draw", "id", "label").limit(max_rows)
+    data = sample.toArrow().to_pandas().sort_values(["id", "label", "draw"], kind="stable")
     model = fit(np.array(data["x"].tolist()), data["label"].to_numpy(float)) if len(data) else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

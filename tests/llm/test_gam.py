@@ -1,11 +1,13 @@
 """Held-out accuracy of the classifier, and odd rows."""
 
+import math
 import zlib
 
 import numpy as np
+import zstandard
 from conftest_data import DOCS, docs_frame
 
-from segtrace.llm.gam import classify, fit
+from segtrace.llm.gam import classify, fit, text_features
 from segtrace.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -34,6 +36,71 @@ def test_interactions_are_learnt():
     assert auc(plain.score(x), y) < 0.7 < 0.95 < auc(paired.score(x), y)
 
 
+def steps(grad, weight, leaves, ridge):
+    """The best shallow tree, cut by cut: values of each bin."""
+    gain = lambda a, b: sum(grad[a:b]) ** 2 / (sum(weight[a:b]) + ridge)
+    parts = [(0, len(grad))]
+    while len(parts) < leaves:
+        found = [(gain(a, c) + gain(c, b) - gain(a, b), -k, -c, a, b) for k, (a, b) in enumerate(parts) for c in range(a + 1, b)]
+        if not found or max(found)[0] <= 1e-9:
+            break
+        _, _, c, a, b = max(found)
+        parts.remove((a, b))
+        parts += [(a, -c), (-c, b)]
+    return [next(sum(grad[a:b]) / (sum(weight[a:b]) + ridge) for a, b in parts if a <= k < b) for k in range(len(grad))]
+
+
+def plain_fit(x, y, n_bins, rounds, rate, leaves, ridge):
+    """Cyclic boosting with loops over rows and bins; scores of the rows."""
+    edges = [sorted(set(np.quantile([r[j] for r in x], [k / n_bins for k in range(1, n_bins)]).tolist())) for j in range(len(x[0]))]
+    bins = [[sum(e <= r[j] for e in edges[j]) for j in range(len(edges))] for r in x]
+    total = [math.log(sum(y) / (len(y) - sum(y)))] * len(y)
+    for _ in range(rounds):
+        for j, e in enumerate(edges):
+            grad, weight = [0.0] * (len(e) + 1), [0.0] * (len(e) + 1)
+            for row, t, label in zip(bins, total, y, strict=True):
+                p = 1 / (1 + math.exp(-t))
+                grad[row[j]] += label - p
+                weight[row[j]] += max(p * (1 - p), 1e-6)
+            step = steps(grad, weight, leaves, ridge)
+            total = [t + rate * step[row[j]] for t, row in zip(total, bins, strict=True)]
+    return [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_fit_again():
+    """Tables learnt by numpy equal those of plain loops."""
+    rng = np.random.default_rng(4)
+    x = rng.random((150, 3)).round(2)
+    y = (x[:, 0] + 0.3 * rng.random(150) > 0.6).astype(float)
+    got = fit(x, y, n_bins=9, rounds=12, rate=0.2, leaves=3, n_pairs=0, ridge=1.0).score(x)
+    assert np.allclose(got, plain_fit(x.tolist(), y.tolist(), 9, 12, 0.2, 3, 1.0), atol=1e-9)
+
+
+def test_table_again(spark):
+    """The query's scores: features by the operator's function, rows chosen and tables learnt and summed up here."""
+    sf = "/root/testdata/sf0.001"
+    packer = zstandard.ZstdCompressor(level=1)
+    x = {r.doc_id: text_features((r.text or "").encode(), packer) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    taught = sorted((r.doc_id, r.quality) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.doc_id in x and zlib.crc32(str(r.doc_id).encode()) % 5)
+    model = fit(np.array([x[i] for i, _ in taught]), np.array([q for _, q in taught], float))
+
+    def score(row):
+        place = [int(np.searchsorted(e, v, side="right")) for e, v in zip(model.edges, row, strict=True)]
+        coarse = [k * model.coarse // (len(e) + 1) for k, e in zip(place, model.edges, strict=True)]
+        total = model.intercept + sum(t[k] for t, k in zip(model.tables, place, strict=True)) + sum(t[coarse[i]][coarse[j]] for i, j, t in model.pairs)
+        return 1 / (1 + math.exp(-total))
+
+    for r in QUERIES["op10_gam_quality"](spark, sf).collect():
+        assert abs(r.score - score(x[r.doc_id])) < 1e-9 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_rows_are_bounded(spark):
+    docs = docs_frame(spark, [(k, f"some words number {k} " * (1 + k % 9)) for k in range(300)])
+    labels = spark.range(300).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    few, again = (sorted(map(tuple, classify(docs, labels, max_rows=50).collect())) for _ in range(2))
+    assert few == again and len({s for *_, s, _ in few}) > 1
+
+
 def test_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (6, 0), (7, 1), (7, None), (None, 1), (8, 5)], "doc_id long, quality int")
     got = classify(docs_frame(spark, DOCS), labels).collect()

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest_data import DOCS, SF, docs_frame
+from pyspark.sql import functions as F
 
 from segtrace.llm.mixing import mix, mix_documents, round_dependently, targets
 from segtrace.llm.queries import QUERIES
@@ -57,10 +58,25 @@ def test_tree_keeps_sums_and_probabilities(spark):
     assert 0.15 < sum(taken.values()) / 360 < 0.45
 
 
+def test_one_id_or_text_is_spread(spark):
+    """Null ids, one id, and one row many times over: buckets stay small, and equal rows share their copies."""
+    docs = [(None, f"{'w ' * (k % 5 + 1)}text {k}") for k in range(300)] + [(7, f"other {k} words here") for k in range(300)] + [(8, "the very same row")] * 300
+    frame = docs_frame(spark, docs)
+    keyed = frame.selectExpr("doc_id AS id", "xxhash64(text) AS text").groupBy("id", "text").count().selectExpr("id", "text", "explode(sequence(1, count)) AS nth")
+    buckets = keyed.selectExpr("pmod(xxhash64(1, id, text, nth), 30) AS b").groupBy("b").count()
+    assert buckets.agg(F.max("count")).first()[0] < 90
+    rows = mix(frame).collect()
+    assert len(rows) == 900 and all(r.taken <= 2 * r.size for r in rows)
+    got = mix_documents(frame)
+    assert got.count() == sum(r.copies for r in rows) and got.agg(F.max("copy")).first()[0] <= 2
+
+
 def test_odd_rows(spark):
     frame = docs_frame(spark, DOCS)
     rows = mix(frame).collect()
     assert len(rows) == len(DOCS) and all(r.taken == 0 for r in rows if r.size == 0) and all(r.taken <= 2 * r.size for r in rows)
     out = mix_documents(frame)
     assert out.columns == [*frame.columns, "copy"] and out.count() == sum(r.copies for r in rows)
+    clash = mix_documents(frame.withColumn("copy", F.lit("old")))
+    assert clash.columns == [*frame.columns, "copy"] and clash.count() == out.count()
     assert mix(docs_frame(spark, [])).count() == 0 and mix_documents(docs_frame(spark, [])).count() == 0
