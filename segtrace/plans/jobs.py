@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dist import EMPTY, clean, keys, largest_remainder, serialize, to_proportions
-from ..functions.domain import CLUSTER_IDENTITY, REPRESENTATIVE_IDENTITY, UPDATE_LENGTHS
+from ..functions.domain import CLUSTER_IDENTITY, UPDATE_LENGTHS
 from ..functions.text import ambiguous_percent, header_accession, known, length_class, segment_number
 from ..operators import assign, dims, profile, quality, samples, similarity
 
@@ -20,8 +20,9 @@ def identify(sequences: DataFrame, members: DataFrame, representatives: DataFram
     """The ID report of all samples: one row for each sequence of accepted length.
 
     sequences(sample_id, ord, header, seq, length), representatives(id, seq) and database(id, seq). Tier 1 is the
-    cluster a sequence belongs to at 99 %, found by similarity to the representatives; tier 2 the best hit among
-    representatives at 90 % or more; tier 3 the best hit in the whole database. Each tier gets what is left.
+    cluster a sequence belongs to at 99 % of the shorter, found by similarity to the representatives; tier 2 the best local hit
+    among representatives, if it has 90 % or more; tier 3 the best local hit in the whole database, whatever its identity. A
+    hit needs a common word of k letters. Each tier gets what is left.
     """
     kept, _ = assign.length_filter(sequences, low, high)
     ids = assign.assign_internal_ids(assign.last_wins(kept, ["sample_id", "header"]))
@@ -35,15 +36,15 @@ def identify(sequences: DataFrame, members: DataFrame, representatives: DataFram
 
     tiers, left = [], ids
     if not skip_clusters:
-        near = assign.best_hit(similarity.similarity_join(left.select("id", "seq"), representatives, CLUSTER_IDENTITY, k, shorter=True), 100 * CLUSTER_IDENTITY)
+        near = assign.best_hit(similarity.similarity_join(left.select("id", "seq"), representatives, CLUSTER_IDENTITY, k, shorter=True, window=max(1, similarity.common_run(CLUSTER_IDENTITY, low, high) - k + 1)), 100 * CLUSTER_IDENTITY)
         first = near.select(F.col("qseqid").alias("internal_id"), F.col("sseqid").alias("representative"), "pident")
         tiers.append(("CD-HIT", profiled(assign.attach_cluster_profile(first, profiles, "representative", "representative"))))
         left = assign.unassigned(left, first, "id", "internal_id")
-        hits = similarity.similarity_join(left.select("id", "seq"), representatives, REPRESENTATIVE_IDENTITY / 100, k)
+        hits = similarity.similarity_join(left.select("id", "seq"), representatives, 0.0, k)
         second = assign.annotate_by_representative(hits, profiles)
         tiers.append(("C-BLAST", profiled(second)))
         left = assign.unassigned(left, second, "id", "internal_id")
-    hits = similarity.similarity_join(left.select("id", "seq"), database, 0.7, k)
+    hits = similarity.similarity_join(left.select("id", "seq"), database, 0.0, k)
     third = assign.annotate_by_metadata(hits, metadata)
     third = third.select("internal_id", F.lit("UNCLUSTERED").alias("cluster"), "representative", "pident", *[_one(c).alias(c) for c in ("segment", "genotype", "host", "country")], "collection_date")
     tiers.append(("L-BLAST", third))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dist as D
@@ -479,16 +479,35 @@ n AS (SELECT k, id, count(*) AS n FROM s GROUP BY ALL)"""
 @query(r"""
 WITH w AS (SELECT 'q' AS k, item_id AS id, [x FOR x IN regexp_split_to_array(lower(text), '[\s\x0B]+') IF x <> ''] AS w FROM benchmark UNION ALL SELECT 't', doc_id, [x FOR x IN regexp_split_to_array(lower(text), '[\s\x0B]+') IF x <> ''] FROM documents),""" + _SHINGLES + """
 SELECT a.id AS q, b.id AS t, count(*) AS shared, any_value(x.n) AS nq, any_value(y.n) AS nt FROM s a JOIN s b ON a.g = b.g AND a.k = 'q' AND b.k = 't' JOIN n x ON x.k = 'q' AND x.id = a.id JOIN n y ON y.k = 't' AND y.id = b.id GROUP BY ALL""")
-def similarity_join(t: Tables) -> DataFrame:
+def word_overlap(t: Tables) -> DataFrame:
     """Benchmark items against documents: runs of eight words in common."""
-    q = t.benchmark.select("item_id", similarity.shingles_of(F.col("text"), 8).alias("words"))
-    d = t.documents.select("doc_id", similarity.shingles_of(F.col("text"), 8).alias("words"))
+    q = similarity.with_shingles(t.benchmark.select("item_id", "text"), "text", 8)
+    d = similarity.with_shingles(t.documents.select("doc_id", "text"), "text", 8)
     out = similarity.shared_words(q, d, "item_id", "doc_id")
     return out.select("q", "t", "shared", F.col("nq").cast("long").alias("nq"), F.col("nt").cast("long").alias("nt"))
 
 
+def _sequence(text: str) -> Column:
+    return F.regexp_replace(F.lower(F.col(text)), r"\s+", " ")
+
+
+@query()
+def similarity_join(t: Tables) -> DataFrame:
+    """Benchmark items against all documents as sequences: local hits of a common run of 32 letters, the best five for each item."""
+    q = t.benchmark.select(F.col("item_id").alias("id"), _sequence("text").alias("seq"))
+    d = t.documents.select(F.col("doc_id").alias("id"), _sequence("text").alias("seq"))
+    return similarity.similarity_join(q, d, 0.9, k=16, both_strands=False, window=17)
+
+
 @query()
 def identity_clusters(t: Tables) -> DataFrame:
+    """All turns of conversations as sequences, clustered at 90 % of the shorter."""
+    turns = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("id"), _sequence("text").alias("seq"))
+    return similarity.identity_clusters(turns, 0.9, k=8)
+
+
+@query()
+def greedy_clusters(t: Tables) -> DataFrame:
     """Orders that share a part from the same supplier: greedy clusters, highest price first."""
     v = t.lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(F.max("l_extendedprice").alias("length"))
     one = t.lineitem.select(F.col("l_orderkey").alias("a"), "l_partkey", "l_suppkey").distinct()

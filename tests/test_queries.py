@@ -1,6 +1,5 @@
 import pytest
-from comparing import assert_same, duck
-from conftest import SF
+from comparing import SF, assert_same, duck
 
 from segtrace.plans.queries import ORACLES, QUERIES
 
@@ -17,7 +16,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_clusters_are_greedy(spark):
     """Leaders and members equal a sequential pass, highest price first."""
-    got = {r.id: r.leader for r in QUERIES["identity_clusters"](spark, SF).collect()}
+    got = {r.id: r.leader for r in QUERIES["greedy_clusters"](spark, SF).collect()}
     rows = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice").collect()
     price, held = {}, {}
     for o, p, s, x in rows:
