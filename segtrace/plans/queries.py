@@ -501,9 +501,9 @@ def similarity_join(t: Tables) -> DataFrame:
 
 @query()
 def identity_clusters(t: Tables) -> DataFrame:
-    """All turns of conversations as sequences, clustered at 90 % of the shorter."""
+    """All turns of conversations as sequences, clustered at 98 % of the shorter."""
     turns = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("id"), _sequence("text").alias("seq"))
-    return similarity.identity_clusters(turns, 0.9, k=8)
+    return similarity.identity_clusters(turns, 0.98, k=16)
 
 
 @query()
