@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dist import EMPTY, to_proportions
 from ..functions.domain import CONTIG_FLOOR, CONTIG_STEP, REPRESENTATIVE_IDENTITY
 from ..functions.text import known
+from ..shared import stored
 
 
 def length_filter(df: DataFrame, low: int = 400, high: int = 4000, column: str = "length") -> tuple[DataFrame, DataFrame]:
@@ -16,10 +17,28 @@ def length_filter(df: DataFrame, low: int = 400, high: int = 4000, column: str =
     return df.filter(fits), df.filter(~fits)
 
 
+def numbered(df: DataFrame, group: str, order: str, out: str, most_rows: int = 5_000_000) -> DataFrame:
+    """df with `out`: the row's place (from 1) in its group by order. Rows of one group that tie in order are told apart arbitrarily.
+
+    Groups of up to most_rows are sorted by a task each. If any is larger, the rows are cut into ranges of (group, order), numbered
+    within each, and the counts of the ranges before are added, so no task sorts a whole group.
+    """
+    place = F.row_number().over(Window.partitionBy(group).orderBy(order))
+    largest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    if largest <= most_rows:
+        return df.withColumn(out, place.cast("long"))
+    cut = stored(df.repartitionByRange(group, order).withColumn("__part", F.spark_partition_id()), "ranges")
+    counts = cut.groupBy(F.col(group).alias("__g"), F.col("__part").alias("__p")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__g").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__n")
+    rows = cut.withColumn(out, F.row_number().over(Window.partitionBy(group, "__part").orderBy(order)))
+    rows = rows.join(counts, rows[group].eqNullSafe(counts["__g"]) & (F.col("__part") == F.col("__p")))
+    return rows.withColumn(out, (F.col(out) + F.col("__before")).cast("long")).drop("__part", "__g", "__p", "__before")
+
+
 def assign_internal_ids(df: DataFrame, group: str = "sample_id", order: str = "ord", prefix: str = "Seq-") -> DataFrame:
     """Adds internal_id: prefix and the row's place in its group."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return df.withColumn("internal_id", F.concat(F.lit(prefix), n.cast("string")))
+    return numbered(df, group, order, "__n").withColumn("internal_id", F.concat(F.lit(prefix), F.col("__n").cast("string"))).drop("__n")
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -26,18 +26,20 @@ def walk_tree(tree: DataFrame, max_depth: int = 40) -> DataFrame:
 
     One recursive query: each step opens the children of the nodes found before.
     """
-    spark = tree.sparkSession
-    tree.select(F.col(tree.columns[0]).alias("tree")).createOrReplaceTempView("__tree")
-    return spark.sql(f"""
+    rows = tree.select(F.col(tree.columns[0]).alias("tree"))
+    return tree.sparkSession.sql(
+        f"""
         WITH RECURSIVE walk(name, rank, depth, lineage, children) MAX RECURSION LEVEL {max_depth} AS (
           SELECT e.key, variant_get(e.value, '$.rank', 'string'), 1, array(named_struct('name', e.key, 'rank', variant_get(e.value, '$.rank', 'string'))),
                  variant_get(e.value, '$.children', 'variant')
-          FROM __tree, LATERAL variant_explode(tree) AS e
+          FROM {{tree}}, LATERAL variant_explode(tree) AS e
           UNION ALL
           SELECT e.key, variant_get(e.value, '$.rank', 'string'), depth + 1,
                  array_append(lineage, named_struct('name', e.key, 'rank', variant_get(e.value, '$.rank', 'string'))), variant_get(e.value, '$.children', 'variant')
           FROM walk, LATERAL variant_explode(children) AS e)
-        SELECT name, rank, depth, lineage FROM walk""")
+        SELECT name, rank, depth, lineage FROM walk""",
+        tree=rows,
+    )
 
 
 def geo_dim(nodes: DataFrame, leaf_rank: str = "country") -> DataFrame:
@@ -75,9 +77,9 @@ def resolve(df: DataFrame, column: str, synonyms: DataFrame, reference: DataFram
     lower = lambda t, key, keep: t.groupBy(norm_key(F.col(key)).alias(f"__{key}")).agg(*keep)
     syn = lower(synonyms, "raw", [F.min("canonical").alias("__canonical"), F.lit(True).alias("__listed")]).filter("__raw is not null")
     ref = lower(reference, "name", [F.min("name").alias("__spelling")])
-    step = df.join(F.broadcast(syn), norm_key(F.col(column)) == F.col("__raw"), "left")
+    step = df.join(syn, norm_key(F.col(column)) == F.col("__raw"), "left")
     step = step.withColumn("__term", F.when(F.col("__listed"), F.col("__canonical")).otherwise(F.trim(F.col(column))))
-    step = step.join(F.broadcast(ref), norm_key(F.col("__term")) == F.col("__name"), "left")
+    step = step.join(ref, norm_key(F.col("__term")) == F.col("__name"), "left")
     value = F.coalesce("__spelling", F.nullif("__term", F.lit("")), F.lit("Unknown"))
     return step.withColumn(out, value).drop("__raw", "__canonical", "__listed", "__term", "__name", "__spelling")
 
@@ -99,12 +101,12 @@ def clean_taxon(term: Column) -> Column:
 def rollup_taxa(df: DataFrame, column: str, lookup: DataFrame, level: str, out: str) -> DataFrame:
     """df with the name of each taxon at a level; a taxon above the level stays itself; what isn't found is Unknown."""
     idx = RANKS.index(level)
-    found = df.join(F.broadcast(lookup.withColumnRenamed("term", "__t")), norm_key(clean_taxon(F.col(column))) == F.col("__t"), "left")
+    found = df.join(lookup.withColumnRenamed("term", "__t"), norm_key(clean_taxon(F.col(column))) == F.col("__t"), "left")
     return found.withColumn(out, F.coalesce(F.get("slots", F.greatest(F.col("level_idx"), F.lit(idx))), F.lit("Unknown"))).drop("__t", "level_idx", "slots")
 
 
 def rollup_geo(df: DataFrame, column: str, dim: DataFrame, mode: str, out: str) -> DataFrame:
     """df with the country, region or continent of each place; what isn't a known country is Unknown."""
     keyed = dim.select(norm_key(F.col("country")).alias("__c"), F.col(mode).alias("__v"))
-    found = df.join(F.broadcast(keyed), norm_key(F.col(column)) == F.col("__c"), "left")
+    found = df.join(keyed, norm_key(F.col(column)) == F.col("__c"), "left")
     return found.withColumn(out, F.coalesce("__v", F.lit("Unknown"))).drop("__c", "__v")

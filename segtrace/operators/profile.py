@@ -75,6 +75,12 @@ def field_keys(report: DataFrame, field: str) -> DataFrame:
     return report.filter("pident is not null").withColumn(f"{field}_keys", F.transform(field, lambda x: x["key"]))
 
 
+def cluster_field(profiles: DataFrame, field: str, clusters: DataFrame | None = None, key: str = "cluster") -> DataFrame:
+    """(key, field) of the profiles, of those that clusters(key) lists if given."""
+    rows = profiles if clusters is None else profiles.join(clusters.select(key).distinct(), key, "left_semi")
+    return rows.select(key, field)
+
+
 def distinct_in_order(df: DataFrame, column: str, order: str) -> DataFrame:
     """(column, first): distinct values with the place each first appears at."""
     return df.groupBy(column).agg(F.min(order).alias("first"))

@@ -20,12 +20,13 @@ def drop_incomplete(df: DataFrame, *columns: str) -> DataFrame:
 def length_outliers(df: DataFrame, bounds: DataFrame, key: str, bound_key: str, length: str) -> DataFrame:
     """Rows whose length is outside min_len..max_len of their kind; kinds without bounds pass."""
     dim = bounds.select(F.col(bound_key).alias("__k"), "min_len", "max_len")
-    return df.join(F.broadcast(dim), df[key] == dim["__k"]).filter(~F.col(length).between(F.col("min_len"), F.col("max_len"))).drop("__k")
+    return df.join(dim, df[key] == dim["__k"]).filter(~F.col(length).between(F.col("min_len"), F.col("max_len"))).drop("__k")
 
 
 def complete_groups(df: DataFrame, group: str, n: int) -> DataFrame:
-    """Rows of groups with at least n rows; a null group passes."""
-    return df.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(group))).filter(F.col(group).isNull() | (F.col("__n") >= n)).drop("__n")
+    """Rows of groups with at least n rows; a null group passes. Counts are partial first; the rows themselves are joined, not sorted."""
+    whole = df.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias("__g")).agg(F.count("*").alias("__n")).filter(F.col("__n") >= n).select("__g")
+    return df.join(whole, df[group] == whole["__g"], "left_semi").unionByName(df.filter(F.col(group).isNull()))
 
 
 def groups_with_any_bad(df: DataFrame, group: str, bad) -> DataFrame:
@@ -123,12 +124,17 @@ def reference_lookup(wanted: DataFrame, records: DataFrame, key: str) -> tuple[D
     return records.join(keys, key, "left_semi"), keys.join(records, key, "left_anti")
 
 
-def union_distinct(*tables: DataFrame) -> DataFrame:
-    """Distinct rows of tables with equal headers."""
+def union_bag(*tables: DataFrame) -> DataFrame:
+    """All rows of tables with equal headers, repeated ones too."""
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(require(t, *out.columns).select(*out.columns))
-    return out.distinct()
+    return out
+
+
+def union_distinct(*tables: DataFrame) -> DataFrame:
+    """Distinct rows of tables with equal headers."""
+    return union_bag(*tables).distinct()
 
 
 def header_accessions(df: DataFrame, column: str = "header") -> DataFrame:

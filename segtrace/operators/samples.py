@@ -94,7 +94,7 @@ def _locus_rank(locus: Column) -> Column:
 
 def ordered_labels(labels: Column) -> Column:
     """Distinct labels by rank of their locus, then locus, then label."""
-    cells = F.transform(F.filter(F.transform(labels, F.trim), lambda x: x != ""), lambda x: F.struct(_locus_rank(F.substring_index(x, ":", 1)).alias("r"), F.substring_index(x, ":", 1).alias("l"), x.alias("label")))
+    cells = F.transform(F.filter(F.transform(labels, lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.struct(_locus_rank(F.substring_index(x, ":", 1)).alias("r"), F.substring_index(x, ":", 1).alias("l"), x.alias("label")))
     return F.transform(F.array_sort(F.array_distinct(cells)), lambda x: x["label"])
 
 
@@ -105,7 +105,7 @@ def mutations_of_interest(markers: DataFrame, effects: DataFrame | None = None)
     rows = rows.withColumn("label", mutation_label(F.col("segment"), F.col("mutation")))
     if effects is None:
         return rows.withColumn("effect", F.lit(None).cast("string"))
-    return rows.join(F.broadcast(effects), ["segment", "mutation"], "left").select("sample", "locus", "segment", "mutation", "label", "effect")
+    return rows.join(effects, ["segment", "mutation"], "left").select("sample", "locus", "segment", "mutation", "label", "effect")
 
 
 def marker_order() -> list[Column]:
@@ -145,7 +145,7 @@ def constellation_rows(raw: DataFrame, names: DataFrame | None = None) -> tuple[
         one = names.groupBy("segment_name").agg(F.count("*").alias("n"), F.first(F.trim("header")).alias("only")).filter("n = 1")
         stem = F.when(F.col("header").endswith(F.concat(F.lit("_"), "segment_name")), F.regexp_replace("header", F.concat(F.lit("_"), F.col("segment_name"), F.lit("$")), ""))
         stems = names.select(F.regexp_replace(stem, "^>", "").alias("stem")).agg(F.collect_set("stem").alias("stems")).select(F.when(F.size("stems") == 1, F.get("stems", F.lit(0))).alias("__stem"))
-        rows = rows.join(F.broadcast(one.select(F.col("segment_name").alias("__s"), "only")), (F.size("__found") == 1) & (F.get("__found", F.lit(0)) == F.col("__s")), "left").join(F.broadcast(stems))
+        rows = rows.join(one.select(F.col("segment_name").alias("__s"), "only"), (F.size("__found") == 1) & (F.get("__found", F.lit(0)) == F.col("__s")), "left").join(F.broadcast(stems))
         rows = rows.withColumn("__name", F.coalesce("only", "__stem", "__name")).drop("__s", "only", "__stem")
     text = lambda c, default="": F.coalesce(F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")), F.lit(default))
     rows = with_defaults(rows, **{"Sub-genotype": "", "Notes": ""})

@@ -9,6 +9,7 @@ from ..functions.dist import EMPTY, clean, keys, largest_remainder, serialize, t
 from ..functions.domain import CLUSTER_IDENTITY, UPDATE_LENGTHS
 from ..functions.text import ambiguous_percent, header_accession, known, length_class, segment_number
 from ..operators import assign, dims, profile, quality, samples, similarity
+from ..shared import stored
 
 
 def _one(c: str):
@@ -36,12 +37,13 @@ def identify(sequences: DataFrame, members: DataFrame, representatives: DataFram
 
     tiers, left = [], ids
     if not skip_clusters:
+        left = stored(left, "sequences")
         near = assign.best_hit(similarity.similarity_join(left.select("id", "seq"), representatives, CLUSTER_IDENTITY, k, shorter=True, window=max(1, similarity.common_run(CLUSTER_IDENTITY, low, high) - k + 1)), 100 * CLUSTER_IDENTITY)
-        first = near.select(F.col("qseqid").alias("internal_id"), F.col("sseqid").alias("representative"), "pident")
+        first = stored(near.select(F.col("qseqid").alias("internal_id"), F.col("sseqid").alias("representative"), "pident"), "members")
         tiers.append(("CD-HIT", profiled(assign.attach_cluster_profile(first, profiles, "representative", "representative"))))
         left = assign.unassigned(left, first, "id", "internal_id")
         hits = similarity.similarity_join(left.select("id", "seq"), representatives, 0.0, k)
-        second = assign.annotate_by_representative(hits, profiles)
+        second = stored(assign.annotate_by_representative(hits, profiles), "hits")
         tiers.append(("C-BLAST", profiled(second)))
         left = assign.unassigned(left, second, "id", "internal_id")
     hits = similarity.similarity_join(left.select("id", "seq"), database, 0.0, k)
@@ -146,7 +148,7 @@ def batch_report(report: DataFrame, inputs: DataFrame, mutations: DataFrame, cla
 def segment_background(report: DataFrame, sequences: DataFrame, bounds: DataFrame) -> DataFrame:
     """Report rows with segment name and rank, length and its class, and rounded shares, in segment order."""
     rows = assign.attach_length(samples.report_segment(report), sequences)
-    rows = rows.join(F.broadcast(bounds), rows["segment"] == bounds["num"], "left")
+    rows = rows.join(bounds, rows["segment"] == bounds["num"], "left")
     rows = rows.withColumn("length_class", length_class(F.col("length"), F.col("min_len"), F.col("max_len")))
     shares = {c: largest_remainder(clean(F.col(c))) for c in ("genotype", "host", "country")}
     return rows.withColumns(shares).withColumn("rank", samples.segment_order(F.col("name"))).orderBy("sample_id", "rank", "sample_name")

@@ -5,9 +5,7 @@ The tables hold no sequences, so each operator gets a table of the same shape.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dist as D
@@ -16,30 +14,7 @@ from ..functions.domain import SUMMARY_FIELDS
 from ..operators import assign, dims, profile, quality, samples, similarity
 from ..sources import writers
 from ..streaming.identify import running_best
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-class Tables:
-    """spark.read of the driver's tables by attribute."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self._dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    def register(f: Callable[[Tables], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
+from .registry import Tables, query, text_of
 
 _NORM = "regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyzXU-', 'ABCDEFGHIJKLMNOPQRSTTVWNYZNT'), '[^ACGTRYSWKMBDHVN]', 'N', 'g')"
 
@@ -146,16 +121,11 @@ def length_outliers(t: Tables) -> DataFrame:
     return out.select("p_partkey", "p_type", "p_size", T.length_class(F.col("p_size"), F.col("min_len"), F.col("max_len")).alias("length_class"))
 
 
-def _text(dist: str, alias: str) -> F.Column:
-    """A distribution of counts as plain text."""
-    return F.array_join(F.transform(dist, lambda x: F.concat(x["key"], F.lit("="), x["weight"].cast("long").cast("string"))), ";").alias(alias)
-
-
 @query("""
 WITH c AS (SELECT c_nationkey, c_mktsegment, count(*) AS n, min(c_custkey) AS f FROM customer GROUP BY ALL)
 SELECT c_nationkey, string_agg(c_mktsegment || '=' || n, ';' ORDER BY f) AS segments FROM c GROUP BY c_nationkey""")
 def cluster_profile(t: Tables) -> DataFrame:
-    return profile.value_counts(t.customer, "c_nationkey", ["c_mktsegment"], "c_custkey").select("c_nationkey", _text("c_mktsegment", "segments"))
+    return profile.value_counts(t.customer, "c_nationkey", ["c_mktsegment"], "c_custkey").select("c_nationkey", text_of("c_mktsegment", "segments"))
 
 
 _LR = """
@@ -184,7 +154,7 @@ def to_proportions(t: Tables) -> DataFrame:
 
 def _nation_entries(t: Tables) -> DataFrame:
     """Customers of each market segment by nation, spelt in lower case here and there to exercise the lookups."""
-    named = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = named.groupBy("c_mktsegment", "n_name").agg(F.count("*").cast("double").alias("weight"))
     return rows.withColumn("place", F.lower("n_name"))
 
@@ -316,7 +286,7 @@ def union_distinct(t: Tables) -> DataFrame:
 def union_bag(t: Tables) -> DataFrame:
     a = t.nation.select(F.col("n_regionkey").alias("region"), F.col("n_name").alias("name"))
     b = t.region.select(F.col("r_regionkey").alias("region"), F.col("r_name").alias("name"))
-    return a.unionByName(b).unionByName(t.customer.select(F.col("c_nationkey").alias("region"), F.col("c_mktsegment").alias("name")))
+    return quality.union_bag(a, b, t.customer.select(F.col("c_nationkey").alias("region"), F.col("c_mktsegment").alias("name")))
 
 
 @query("SELECT count(*) FILTER (WHERE text IS NULL OR text = '') AS text, count(*) FILTER (WHERE lang IS NULL OR lang = '') AS lang, count(*) FILTER (WHERE source IS NULL OR source = '') AS source FROM documents")

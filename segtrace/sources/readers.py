@@ -15,23 +15,23 @@ def _ordered(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("ord"))
 
 
-def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = False, pattern: str = "*.{fasta,fa,fna}") -> DataFrame:
     """(source_file, ord, header, accession, seq, length) of FASTA files.
 
-    A header is a line that starts with `>`; `;` in it becomes `_`. With recursive, all *.fasta, *.fa and *.fna below
-    path are read. Sequences are normalised. Text before the first header is left out. Repeated headers are kept: see
+    A header is a line that starts with `>`; `;` in it becomes `_`. With recursive, all files below path whose
+    names fit the pattern are read. Sequences are normalised. Text before the first header is left out. Repeated headers are kept: see
     operators.assign.last_wins.
     """
     reader = spark.read.option("lineSep", "\n>")
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{fasta,fa,fna}")
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     rows = _ordered(reader.text(path))
     lines = F.split(F.col("value"), r"\r?\n")
     starts = F.col("value").startswith(">")
     # Only the first record of a file keeps its mark: the separator takes it from the others.
     rows = rows.filter((F.col("block") > 0) | starts | (F.col("ord") % (1 << 33) > 0))
     header = F.replace(F.trim(F.regexp_replace(lines[0], "^>", "")), F.lit(";"), F.lit("_"))
-    seq = F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), F.trim), "")
+    seq = F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x)), "")
     out = rows.select("source_file", "ord", header.alias("header"), T.normalize_sequence(seq).alias("seq"))
     return out.select("source_file", "ord", "header", T.header_accession(F.col("header")).alias("accession"), "seq", F.length("seq").alias("length"))
 

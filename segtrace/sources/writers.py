@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dist import serialize
+from ..operators.assign import numbered
 from ..schemas import DIST
 
 
@@ -30,7 +31,7 @@ def write_fasta_by(df: DataFrame, path: str, key: str, wrap: int | None = 80, re
 
 def with_batches(df: DataFrame, size: int = 8, group: str = "source_file", order: str = "ord") -> DataFrame:
     """Adds batch: 1 for the first `size` records of a group, 2 for the next ..."""
-    return df.withColumn("batch", F.ceil(F.row_number().over(Window.partitionBy(group).orderBy(order)) / size))
+    return numbered(df, group, order, "__n").withColumn("batch", F.ceil(F.col("__n") / size)).drop("__n")
 
 
 def flat(df: DataFrame) -> DataFrame:

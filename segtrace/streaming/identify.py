@@ -27,8 +27,8 @@ def each_batch(stream: DataFrame, job: Callable[[DataFrame], DataFrame], out: st
 
 
 def running_best(hits: DataFrame, query: str, score: str, value: str) -> DataFrame:
-    """Best value for each query over all batches so far (output mode complete or update)."""
-    return hits.groupBy(query).agg(F.max(score).alias(score), F.max_by(value, score).alias(value))
+    """Best value for each query over all batches so far (output mode complete or update); of equal scores the largest value."""
+    return hits.groupBy(query).agg(F.max(score).alias(score), F.max_by(value, F.struct(F.col(score).alias("s"), F.col(value).alias("v"))).alias(value))
 
 
 def windowed_counts(events: DataFrame, time: str, key: str, window: str = "1 hour", late: str = "2 hours") -> DataFrame:

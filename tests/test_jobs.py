@@ -27,6 +27,14 @@ def test_tiers_are_disjoint(spark):
     assert {r.internal_id for r in assign.unassigned(ids, tier("Seq-1")).collect()} == {"Seq-2", "Seq-10", "Seq-11"}
 
 
+def test_large_groups_are_numbered_in_ranges(spark):
+    """Cut into ranges, groups get the same numbers as from one sort; a null group is one too."""
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 < 9 THEN concat('g', id % 50) END AS g", "(id * 7919) % 3001 AS o")
+    few, cut = ({(r.g, r.o): r.n for r in assign.numbered(rows, "g", "o", "n", most).collect()} for most in (10_000, 10))
+    assert few == cut and max(few.values()) == 2100
+    assert assign.numbered(rows.limit(0), "g", "o", "n").count() == 0
+
+
 def test_best_row_puts_missing_last(spark):
     df = spark.createDataFrame([("s", None, 1), ("s", 5.0, 2), ("s", 5.0, 3)], "g string, v double, o int")
     assert assign.best_row(df, "g", "v", "o").first().o == 2

@@ -1,7 +1,7 @@
 import pytest
 from comparing import SF, assert_same, duck
 
-from segtrace.plans.queries import ORACLES, QUERIES
+from segtrace.plans import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -47,6 +47,13 @@ def test_fasta_round_trip(spark, tmp_path):
         writers.write_fasta(long, str(tmp_path / "out"))
 
 
+def test_lines_are_trimmed(spark, tmp_path):
+    """Blanks around any line go, and nothing else."""
+    (tmp_path / "in.fasta").write_text(">a\n AC \n  GT\nTT  \n>b\n1AC1\n2GT2\n")
+    rows = {r.header: r.seq for r in readers.read_fasta(spark, str(tmp_path / "in.fasta")).collect()}
+    assert rows == {"a": "ACGTTT", "b": "NACNNGTN"}
+
+
 def test_fasta_dir(spark, tmp_path):
     for name, head in (("x/a.fasta", "one"), ("x/y/b.fa", "two"), ("x/c.txt", "no")):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
