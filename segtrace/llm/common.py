@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import fresh_folder, stored
+
 #: One word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = b" \t\n\r\x0b\f"
@@ -17,29 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
-    """Hand whole texts to Python in batches of few rows, which bounds the memory of workers and JVM alike."""
+    """Hand whole texts to Python in batches of few rows, which bounds the memory of workers and JVM alike.
+
+    Spark reads this setting when a plan runs, so it stays set in the session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return spark
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the one that driver and executors share.
-
-    The cluster names it in spark.checkpoint.dir; only where that is unset (tests, one machine)
-    does this choose a folder under /tmp and set it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = f"file:///tmp/segtrace-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the one that driver and executors share."""
+    return fresh_folder(spark, name)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends here and survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, name)
 
 
 def file_system(uri: str):

@@ -107,15 +107,16 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN '
   CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM m
 """,
     "op8_perspectives": r"""
-WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, turn // 64 AS block FROM conversations),
+WITH t AS (SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '<\|') AS role, replace(coalesce(text, ''), '<|', '<\|') AS text, coalesce(turn // 64, -1) AS block,
+  CASE WHEN count(*) OVER (PARTITION BY conv_id, turn // 64) > 128 THEN (row_number() OVER (PARTITION BY conv_id, turn // 64 ORDER BY turn NULLS FIRST, role, text) - 1) // 64 ELSE 0 END AS piece FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
 r AS (SELECT t.*, speaker, CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = speaker THEN '<|assistant|>' || chr(10)
       ELSE '<|user name=' || role || '|>' || chr(10) END AS head, text || '<|end|>' || chr(10) AS body FROM t JOIN s USING (conv_id)),
-o AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY block, turn, role, text
+o AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY block, piece, turn, role, text
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM r)
-SELECT conv_id, speaker, block, min(turn) AS first_turn, count(*) AS n_turns, count(*) FILTER (WHERE role = speaker) AS n_masked, min(pos) AS start,
+SELECT conv_id, speaker, block, piece, min(turn) AS first_turn, count(*) AS n_turns, count(*) FILTER (WHERE role = speaker) AS n_masked, min(pos) AS start,
   string_agg(head || body, '' ORDER BY turn, role, text) AS rendered,
   coalesce(string_agg((pos + length(head))::VARCHAR || ':' || (pos + length(head) + length(body))::VARCHAR, ',' ORDER BY pos) FILTER (WHERE role = speaker), '') AS mask
-FROM o GROUP BY conv_id, speaker, block
+FROM o GROUP BY conv_id, speaker, block, piece
 """,
 }
