@@ -107,12 +107,13 @@ def curate_update(new_metadata: DataFrame, new_sequences: DataFrame, spark_dims:
     bounds = spark_dims if spark_dims is not None else dims.segment_dim(new_metadata.sparkSession, UPDATE_LENGTHS)
     rows = new_metadata.withColumn("SEGMENT", segment_number(F.col("SEGMENT").cast("string"))).withColumn("LENGTH", F.col("LENGTH").try_cast("int"))
     rows = quality.drop_incomplete(rows, "SEGMENT", "GENOTYPE", "HOST", "COUNTRY").withColumn("GENOTYPE", F.replace("GENOTYPE", F.lit("v"), F.lit("")))
+    rows = stored(rows, "update")
     bad = quality.offending_genotypes(rows)
     rows = rows.join(bad, "ACCESSION", "left_anti")
     outliers = quality.length_outliers(rows, bounds, "SEGMENT", "num", "LENGTH").select("ACCESSION")
-    rows = quality.complete_groups(rows.join(outliers, "ACCESSION", "left_anti"), "ASSEMBLY", n_segments)
+    rows = stored(quality.complete_groups(rows.join(outliers, "ACCESSION", "left_anti"), "ASSEMBLY", n_segments), "update")
     seqs = new_sequences.withColumn("accession", header_accession(F.col("header"))).filter(F.coalesce(ambiguous_percent(F.col("seq")) <= max_ambiguous, F.lit(False)))
-    seqs = seqs.join(rows.select(F.col("ACCESSION").alias("accession")), "accession", "left_semi")
+    seqs = stored(seqs.join(rows.select(F.col("ACCESSION").alias("accession")), "accession", "left_semi"), "update-sequences")
     return rows.join(seqs.select(F.col("accession").alias("ACCESSION")), "ACCESSION", "left_semi"), seqs
 
 
@@ -122,7 +123,7 @@ def update_db(main_metadata: DataFrame, main_sequences: DataFrame, metadata: Dat
     report(accession, segment int, genotypes array) comes from identify().
     """
     declared = metadata.select(F.col("ACCESSION").alias("accession"), F.col("SEGMENT").alias("segment"), F.col("GENOTYPE").alias("genotype"))
-    bad = quality.crosscheck_internal(declared, report).unionByName(quality.crosscheck_determining(declared, report)).distinct()
+    bad = stored(quality.crosscheck_internal(declared, report).unionByName(quality.crosscheck_determining(declared, report)).distinct(), "contradicted")
     new = metadata.join(bad.withColumnRenamed("accession", "ACCESSION"), "ACCESSION", "left_anti")
     seqs = sequences.join(bad, "accession", "left_anti")
     fresh = quality.append_missing(main_metadata, quality.append_metadata(main_metadata.limit(0), new), "ACCESSION")
