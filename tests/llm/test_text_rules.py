@@ -66,24 +66,26 @@ def test_bands_reject_both_ends(spark):
     assert quality_rules(docs_frame(spark, [])).count() == 0
 
 
+def plain_bands(raw, bands=Bands()):
+    """(ratio, chunks, chunks below and above, verdict) of one text, without the operator's code."""
+    packer = zstandard.ZstdCompressor(level=3)
+    size = lambda x: len(packer.compress(x))
+    ratio = size(raw) / len(raw) if raw else 0.0
+    pieces = [raw[k : k + bands.chunk] for k in range(0, len(raw), bands.chunk)] if len(raw) >= bands.chunk else []
+    if len(pieces) > 1 and len(pieces[-1]) < bands.chunk / 2:
+        pieces[-2:] = [pieces[-2] + pieces[-1]]
+    low, high = (sum(f(size(p) / len(p)) for p in pieces) for f in (lambda x: x < bands.chunk_band[0], lambda x: x > bands.chunk_band[1]))
+    least, most = [(a, b) for n, a, b in bands.whole if len(raw) >= n][-1]
+    return ratio, len(pieces), low, high, least <= ratio <= most and low + high <= bands.max_bad_chunks * len(pieces)
+
+
 def test_ratios_and_bands_again(spark):
-    """Every document's ratio, chunks and verdict, computed once more without the operator's code."""
-    bands, packer = Bands(), zstandard.ZstdCompressor(level=3)
-    size = lambda raw: len(packer.compress(raw))
+    """Every document's ratio, chunks and verdict, computed once more."""
     rows = {r.doc_id: r for r in QUERIES["op4_compression_bands"](spark, SF).collect()}
     for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
         r, raw = rows[d.doc_id], (d.text or "").encode()
-        ratio = size(raw) / len(raw) if raw else 0.0
-        pieces = [raw[k : k + bands.chunk] for k in range(0, len(raw), bands.chunk)]
-        if len(pieces) > 1 and len(pieces[-1]) < bands.chunk / 2:
-            pieces[-2:] = [pieces[-2] + pieces[-1]]
-        if len(raw) < bands.chunk:
-            pieces = []
-        low, high = (sum(f(size(p) / len(p)) for p in pieces) for f in (lambda x: x < bands.chunk_band[0], lambda x: x > bands.chunk_band[1]))
-        least, most = [(a, b) for n, a, b in bands.whole if len(raw) >= n][-1]
-        inside = least <= ratio <= most and low + high <= bands.max_bad_chunks * len(pieces)
-        assert (r.ratio, r.n_bytes, r.n_chunks, r.n_chunks_low, r.n_chunks_high, r.in_band) == (ratio, len(raw), len(pieces), low, high, inside)
-        assert r.kept == (inside and not r.base_failed)
+        assert (r.ratio, r.n_chunks, r.n_chunks_low, r.n_chunks_high, r.in_band) == plain_bands(raw) and r.n_bytes == len(raw)
+        assert r.kept == (r.in_band and not r.base_failed)
 
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
