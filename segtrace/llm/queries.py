@@ -14,6 +14,7 @@ from .lm_trie import learn_and_score
 from .mixing import mix
 from .perspective import rotate
 from .pii import pii_report
+from .token_files import read_records, token_digests, write_tokens
 from .urls import Rule, filter_urls
 from .warc import archive_pages, page_records
 
@@ -65,7 +66,15 @@ def op10_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_col="quality", fold=5, threshold=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_trie, op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality)}
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written as records, in the order of doc_id, and read back."""
+    import public_tokenizers
+
+    folder = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_digests(read_records(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_trie, op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality, op13_token_records)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
