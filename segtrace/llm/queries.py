@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import cluster
 from .common import table
 from .compression import quality_rules
 from .decontaminate import leaks
@@ -66,6 +67,11 @@ def op10_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_col="quality", fold=5, threshold=0.3)
 
 
+def op11_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 centroids, 5 rounds, over all vectors of 64 components."""
+    return cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, scale=256, dims=64)
+
+
 def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written as records, in the order of doc_id, and read back."""
     import public_tokenizers
@@ -74,13 +80,33 @@ def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_records(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_trie, op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality, op13_token_records)}
+QUERIES = {f.__name__: f for f in (op1_lm_trie, op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality, op11_orchard_clusters, op13_token_records)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
 _KEPT = r"regexp_replace(regexp_replace(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&', '')"
 
+
+
+def _rounds_sql(k: int, rounds: int, seed: int, scale: int, dims: int) -> str:
+    """k-means as one common table expression for each step."""
+    near = "SELECT q.vec_id, v, n, (list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c))::BIGINT AS d FROM q, c{r}"
+    best = "SELECT vec_id, any_value(v) AS v, arg_min(n, [d, n]) AS n, min(d) AS d FROM ({near}) GROUP BY vec_id"
+    steps = [
+        f"q AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS n, v AS c FROM q ORDER BY n LIMIT {k})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED ({best.format(near=near.format(r=r))})")
+        means = f"SELECT n, i, floor(sum(v[i]) / count(*)) AS m FROM (SELECT n, v, unnest(range(1, {dims + 1})) AS i FROM a{r}) GROUP BY n, i"
+        steps.append(f"c{r + 1} AS MATERIALIZED (SELECT c{r}.n, coalesce(l, c) AS c FROM c{r} LEFT JOIN (SELECT n, list(m ORDER BY i) AS l FROM ({means}) GROUP BY n) USING (n))")
+    return f"WITH {', '.join(steps)}" + rf"""
+SELECT vec_id, n::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY n))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(c, lambda x: x::BIGINT), ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (n)"""
+
+
 ORACLES = {
+    "op11_orchard_clusters": _rounds_sql(40, 5, 2, 256, 64),
     "op3_url_filter": rf"""
 WITH p AS (SELECT page_id, url, {_HOST} AS host, {_PATH} AS path, {_KEPT} AS kept FROM pages),
 c AS (SELECT page_id, host, path, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
