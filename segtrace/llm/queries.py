@@ -13,6 +13,7 @@ from .forest import near_duplicates
 from .gam import classify
 from .lm_trie import learn_and_score
 from .mixing import mix
+from .negatives import mine_negatives
 from .perspective import rotate
 from .pii import pii_report
 from .token_files import read_records, token_digests, write_tokens
@@ -72,6 +73,12 @@ def op11_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, scale=256, dims=64)
 
 
+def op12_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; the label of every seventh id is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), every=100, positives=5, negatives=5, low=80, high=100)
+
+
 def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written as records, in the order of doc_id, and read back."""
     import public_tokenizers
@@ -80,7 +87,7 @@ def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_records(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_trie, op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality, op11_orchard_clusters, op13_token_records)}
+QUERIES = {f.__name__: f for f in (op1_lm_trie, op2_template_decontamination, op3_url_filter, op4_compression_bands, op5_pivotal_mixing, op6_lsh_forest, op7_warc, op8_perspectives, op9_pii, op10_gam_quality, op11_orchard_clusters, op12_cover_tree_negatives, op13_token_records)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
@@ -106,6 +113,15 @@ SELECT vec_id, n::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY n)):
 
 
 ORACLES = {
+    "op12_cover_tree_negatives": """
+WITH e AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM e a JOIN e b ON a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same AND a <> b QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b))::INT AS rank, n.b AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score QUALIFY rank <= 5
+""",
     "op11_orchard_clusters": _rounds_sql(40, 5, 2, 256, 64),
     "op3_url_filter": rf"""
 WITH p AS (SELECT page_id, url, {_HOST} AS host, {_PATH} AS path, {_KEPT} AS kept FROM pages),
