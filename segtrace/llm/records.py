@@ -1,8 +1,8 @@
 """Length-delimited binary records, many at once in numpy.
 
 A record is: its length (8 bytes, little endian), the masked CRC-32C of these 8 bytes, the data, the masked CRC-32C of the
-data. Data is a serialised protocol-buffer message of named lists of integers, so that common training readers take the files as
-they are: {"doc_id": [id], "ids": [...]}, without "doc_id" for a null id.
+data. Data is a serialised protocol-buffer message of named lists, so that common training readers take the files as they are:
+"doc_id", a list of one integer (absent for a null id), and "ids_u16" or "ids_u32", one string of little-endian unsigned integers.
 """
 
 from __future__ import annotations
@@ -142,44 +142,16 @@ def varint(value: int) -> bytes:
     return bytes([*out, value])
 
 
-def varints(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes of non-negative values, bytes of each group); group: how many values each has."""
-    n = np.ones(len(values), np.int64)
-    rest = values >> 7
-    while rest.any():
-        n += rest > 0
-        rest = rest >> 7
-    ends = np.append(0, np.cumsum(n))
-    out = np.zeros(int(ends[-1]), np.uint8)
-    k, live, rest = 0, np.arange(len(values)), values
-    while len(live):
-        more = n[live] > k + 1
-        out[ends[live] + k] = (rest & 127) | (more << 7)
-        live, rest, k = live[more], rest[more] >> 7, k + 1
-    return out, np.diff(ends[np.append(0, np.cumsum(group))])
-
-
-def read_varints(data: np.ndarray) -> np.ndarray:
-    """The values of consecutive varints of at most 9 bytes."""
-    if not len(data):
-        return np.zeros(0, np.int64)
-    ends = np.flatnonzero(data < 128)
-    starts = np.append(0, ends[:-1] + 1)
-    out, size = np.zeros(len(ends), np.int64), ends - starts + 1
-    for k in range(int(size.max())):
-        live = np.flatnonzero(size > k)
-        out[live] |= (data[starts[live] + k].astype(np.int64) & 127) << (7 * k)
-    return out
-
-
 def _field(number: int, data: bytes) -> bytes:
     return varint(number << 3 | 2) + varint(len(data)) + data
 
 
-def messages(lists: list[tuple[int | None, bytes]]) -> list[bytes]:
-    """A message for each (id or None, packed ids)."""
-    entry = lambda name, packed: _field(1, _field(1, name) + _field(2, _field(3, _field(1, packed))))
-    return [_field(1, (entry(b"doc_id", varint(i)) if i is not None else b"") + entry(b"ids", packed)) for i, packed in lists]
+def messages(ids: list[int | None], tokens: list[memoryview], width: int) -> list[bytes]:
+    """A message for each id (or None) and its tokens, integers of `width` bytes."""
+    entry = lambda name, kind: _field(1, _field(1, name) + _field(2, kind))
+    doc = lambda i: entry(b"doc_id", _field(3, _field(1, varint(i)))) if i is not None else b""
+    name = f"ids_u{8 * width}".encode()
+    return [_field(1, doc(i) + entry(name, _field(1, _field(1, bytes(t))))) for i, t in zip(ids, tokens, strict=True)]
 
 
 def _parts(data: memoryview) -> list[tuple[int, memoryview]]:
@@ -204,16 +176,17 @@ def _parts(data: memoryview) -> list[tuple[int, memoryview]]:
     return out
 
 
-def parse_message(data: memoryview) -> tuple[int | None, memoryview]:
-    """(id or None, packed ids) of a message, its lists in any order."""
-    doc, packed = None, memoryview(b"")
+def parse_message(data: memoryview) -> tuple[int | None, memoryview, int]:
+    """(id or None, tokens, bytes of each token) of a message, its lists in any order."""
+    doc, tokens, width = None, memoryview(b""), 4
     for _, features in _parts(data):
         for _, entry in _parts(features):
             named = dict(_parts(entry))
             content = next((c for _, kind in _parts(named[2]) for _, c in _parts(kind)), memoryview(b""))
-            if bytes(named[1]) == b"doc_id":
+            name = bytes(named[1])
+            if name == b"doc_id":
                 raw = sum((b & 127) << (7 * k) for k, b in enumerate(content)) & ((1 << 64) - 1)
                 doc = struct.unpack("<q", raw.to_bytes(8, "little"))[0]
-            elif bytes(named[1]) == b"ids":
-                packed = content
-    return doc, packed
+            elif name in (b"ids_u16", b"ids_u32"):
+                tokens, width = content, 2 if name == b"ids_u16" else 4
+    return doc, tokens, width
