@@ -17,11 +17,12 @@ def _one(c: str):
     return F.when(F.col(c).isNotNull(), F.array(F.struct(F.col(c).cast("string").alias("key"), F.lit(1.0).alias("weight")))).otherwise(F.lit(None).cast(EMPTY))
 
 
-def identify(sequences: DataFrame, members: DataFrame, representatives: DataFrame, database: DataFrame, profiles: DataFrame, metadata: DataFrame, low: int = 400, high: int = 4000, k: int = 11, skip_clusters: bool = False) -> DataFrame:
+def identify(sequences: DataFrame, members: DataFrame | None, representatives: DataFrame, database: DataFrame, profiles: DataFrame, metadata: DataFrame, low: int = 400, high: int = 4000, k: int = 11, skip_clusters: bool = False) -> DataFrame:
     """The ID report of all samples: one row for each sequence of accepted length.
 
-    sequences(sample_id, ord, header, seq, length), representatives(id, seq) and database(id, seq). Tier 1 is the
-    cluster a sequence belongs to at 99 % of the shorter, found by similarity to the representatives; tier 2 the best local hit
+    sequences(sample_id, ord, header, seq, length), representatives(id, seq) and database(id, seq). Tier 1 is the cluster of a sequence: the one in which
+    members(accession, cluster, is_rep, identity) has it, by its internal id (`sample/Seq-n`) or header, as a clustering of database and samples together gives; else the nearest
+    representative with 99 % over the shorter. Without members (None) all go by the representatives. Tier 2 is the best local hit
     among representatives, if it has 90 % or more; tier 3 the best local hit in the whole database, whatever its identity. A
     hit needs a common word of k letters. Each tier gets what is left.
     """
@@ -38,10 +39,16 @@ def identify(sequences: DataFrame, members: DataFrame, representatives: DataFram
     tiers, left = [], ids
     if not skip_clusters:
         left = stored(left, "sequences")
-        near = assign.best_hit(similarity.similarity_join(left.select("id", "seq"), representatives, CLUSTER_IDENTITY, k, shorter=True, window=max(1, similarity.common_run(CLUSTER_IDENTITY, low, high) - k + 1)), 100 * CLUSTER_IDENTITY)
+        tier, listed = left, None
+        if members is not None:
+            listed = stored(_listed(left, members, profiles), "listed")
+            tiers.append(("CD-HIT", profiled(listed)))
+            tier = assign.unassigned(left, listed, "id", "internal_id")
+        near = similarity.near_targets(tier.select("id", "seq"), representatives, CLUSTER_IDENTITY, k, low)
+        near = assign.first_wins(near, ["qseqid"], [F.desc("pident"), F.asc("sseqid")])
         first = stored(near.select(F.col("qseqid").alias("internal_id"), F.col("sseqid").alias("representative"), "pident"), "members")
         tiers.append(("CD-HIT", profiled(assign.attach_cluster_profile(first, profiles, "representative", "representative"))))
-        left = assign.unassigned(left, first, "id", "internal_id")
+        left = assign.unassigned(tier, first, "id", "internal_id")
         hits = similarity.similarity_join(left.select("id", "seq"), representatives, 0.0, k)
         second = stored(assign.annotate_by_representative(hits, profiles), "hits")
         tiers.append(("C-BLAST", profiled(second)))
@@ -54,6 +61,14 @@ def identify(sequences: DataFrame, members: DataFrame, representatives: DataFram
     return report.withColumns({"representative": F.coalesce("representative", F.lit("Unassigned")), "collection_date": known(F.col("collection_date"))})
 
 
+def _listed(ids: DataFrame, members: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Sequences that the cluster table has as members, with their cluster's profile and representative; an internal id goes before a header."""
+    names = ids.select("id", F.explode(F.array(F.struct(F.lit(0).alias("o"), F.col("id").alias("name")), F.struct(F.lit(1).alias("o"), F.col("header").alias("name")))).alias("x")).select("id", "x.*")
+    found = assign.assign_clusters(names, members, "name").filter(F.col("cluster") != ">Unassigned")
+    found = assign.first_wins(found, ["id"], [F.asc("o"), F.desc_nulls_last("pident"), F.asc("cluster")])
+    return assign.attach_cluster_profile(found.select(F.col("id").alias("internal_id"), "cluster", "pident"), profiles, "cluster", "cluster")
+
+
 def report_rollup(report: DataFrame, geo: DataFrame, taxa: DataFrame, places: DataFrame, hosts: DataFrame, key: list[str]) -> DataFrame:
     """report with host_family, host_class, country_region and country_continent, as text shares.
 

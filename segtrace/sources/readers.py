@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +29,22 @@ def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = Fal
     reader = spark.read.option("lineSep", "\n>")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    rows = _ordered(reader.text(path))
+    rows = _first_marked(_ordered(reader.text(path))).filter(F.col("value").startswith(">") | ~F.col("leads"))
     lines = F.split(F.col("value"), r"\r?\n")
-    starts = F.col("value").startswith(">")
-    # Only the first record of a file keeps its mark: the separator takes it from the others.
-    rows = rows.filter((F.col("block") > 0) | starts | (F.col("ord") % (1 << 33) > 0))
     header = F.replace(F.trim(F.regexp_replace(lines[0], "^>", "")), F.lit(";"), F.lit("_"))
     seq = F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x)), "")
     out = rows.select("source_file", "ord", header.alias("header"), T.normalize_sequence(seq).alias("seq"))
     return out.select("source_file", "ord", "header", T.header_accession(F.col("header")).alias("accession"), "seq", F.length("seq").alias("length"))
 
 
+def _first_marked(rows: DataFrame) -> DataFrame:
+    """rows with leads: whether a row is its file's first. The separator takes the mark from all other records, so text before the first mark can only
+    be told by that. A task reads a part of one file or several files one after another, in the order of ord, and only the part that begins at byte 0 has a first row; a file
+    may be the second or a later one of a task, so the least ord of each such part counts: one number for each file."""
+    firsts = rows.filter("block = 0").groupBy("source_file").agg(F.min("ord").alias("ord")).withColumn("leads", F.lit(True))
+    return rows.join(firsts, ["source_file", "ord"], "left").withColumn("leads", F.coalesce("leads", F.lit(False)))
+
+
 def fasta_headers(spark: SparkSession, path: str | list[str], fields: bool = False) -> DataFrame:
     """Headers and accessions only; with fields, also the pipe-separated parts."""
     rows = read_fasta(spark, path).select("source_file", "ord", "header", "accession")
@@ -142,17 +151,60 @@ def read_genbank(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(F.coalesce(F.nullif(version, F.lit("")), locus).alias("record_id"), definition.alias("definition"), seq.alias("seq"), features.alias("features"))
 
 
+_LOCATION_PART = r"[^,()]*[(]|[^,()]+|[),]"
+
+
+def location_spans(location: str) -> list[tuple[int, int, bool]]:
+    """(first, last, whether complemented) of a location's spans in the order in which they are put together; places from 1, inclusive.
+
+    `join(...)`, `order(...)` and `complement(...)` may stand in each other; complement turns both the order of what it holds and each span. A single number
+    is one base, `a^b` is a place between bases and so none, `a.b` a base within a range, of which the whole range is taken; `<` and `>` don't count, spans of
+    other records (`X1.1:4..5`) are left out. ValueError if the text is no location.
+    """
+    groups: list[tuple[bool, list[tuple[int, int, bool]]]] = [(False, [])]
+    for part in re.findall(_LOCATION_PART, re.sub(r"\s+", "", location)):
+        if part.endswith("("):
+            if part not in ("join(", "order(", "complement(", "one-of(", "bond(", "gap("):
+                raise ValueError(f"not a location: {location}")
+            groups.append((part == "complement(", []))
+        elif part == ")":
+            if len(groups) < 2:
+                raise ValueError(f"not a location: {location}")
+            turned, inner = groups.pop()
+            groups[-1][1].extend([(a, b, not t) for a, b, t in reversed(inner)] if turned else inner)
+        elif part != "," and ":" not in part and "^" not in part:
+            span = re.fullmatch(r"[<>]?(\d+)(?:\.{1,2}[<>]?(\d+))?", part)
+            if span is None:
+                raise ValueError(f"not a location: {location}")
+            groups[-1][1].append((int(span[1]), int(span[2] or span[1]), False))
+    if len(groups) != 1:
+        raise ValueError(f"not a location: {location}")
+    return groups[0][1]
+
+
+_PAIRED = str.maketrans("ACGTUNRYKMBDHVSWacgtun", "TGCAANYRMKVHDBSWtgcaan")
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(header, seq) of (header, location, seq)."""
+    for batch in batches:
+        out: list[str | None] = []
+        for location, seq in zip(batch["location"].to_pylist(), batch["seq"].to_pylist(), strict=True):
+            try:
+                parts = [(seq or "")[a - 1 : b] if not turned else (seq or "")[a - 1 : b].translate(_PAIRED)[::-1] for a, b, turned in location_spans(location or "")]
+                out.append("".join(parts))
+            except ValueError:
+                out.append(None)
+        yield pa.RecordBatch.from_pydict({"header": batch["header"], "seq": pa.array(out, pa.string())})
+
+
 def feature_sequences(records: DataFrame, feature_type: str = "CDS") -> DataFrame:
-    """(header, seq) of the features of one type: spans put together, complemented where the location says so.
+    """(header, seq) of the features of one type: the spans of the location put together, each complemented where the location says so.
 
-    The header is `id | type_gene`; a feature without a gene is called by its product, else unknown.
+    The header is `id | type_gene`; a feature without a gene is called by its product, else unknown. Spans in other records are left out; a text
+    that is no location gives a null sequence.
     """
-    spans = F.transform(F.regexp_extract_all("f.location", F.lit(r"(\d+\.\.[<>]?\d+|\d+)"), F.lit(1)), lambda s: F.struct(F.substring_index(s, "..", 1).cast("int").alias("a"), F.regexp_replace(F.substring_index(s, "..", -1), "[<>]", "").cast("int").alias("b")))
-    rows = records.select("record_id", "seq", F.explode("features").alias("f")).filter(F.col("f.type") == feature_type)
-    whole = F.array_join(F.transform(spans, lambda s: F.substring(F.col("seq"), s["a"], s["b"] - s["a"] + 1)), "")
-    turned = F.reverse(F.translate(whole, "ACGTRYKMBDHV", "TGCAYRMKVHDB"))
     q = lambda k: F.try_element_at("f.qualifiers", F.lit(k))
+    rows = records.select("record_id", "seq", F.explode("features").alias("f")).filter(F.col("f.type") == feature_type)
     name = F.coalesce(q("gene"), q("product"), F.lit("unknown"))
-    return rows.select(F.concat("record_id", F.lit(f" | {feature_type}_"), name).alias("header"), F.when(F.col("f.location").contains("complement"), turned).otherwise(whole).alias("seq"))
-
-
+    return rows.select(F.concat("record_id", F.lit(f" | {feature_type}_"), name).alias("header"), F.col("f.location").alias("location"), "seq").mapInArrow(_cut, "header string, seq string")

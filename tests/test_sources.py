@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,51 @@ def test_fasta_round_trip(spark, tmp_path):
         writers.write_fasta(long, str(tmp_path / "out"))
 
 
+def test_many_files_in_a_task(spark, tmp_path):
+    """Text before the first header goes, wherever its file stands in a task; files without a header give nothing."""
+    for k in range(40):
+        (tmp_path / f"f{k:02}.fasta").write_text(("; a remark\nmore\n" if k % 2 else "") + f">h{k}\nACGT\n>i{k}\nGG\n")
+    (tmp_path / "none.fasta").write_text("only text\nand more\n")
+    (tmp_path / "empty.fasta").write_text("")
+    rows = readers.read_fasta(spark, str(tmp_path))
+    assert sorted((r.header, r.seq) for r in rows.collect()) == sorted([(f"h{k}", "ACGT") for k in range(40)] + [(f"i{k}", "GG") for k in range(40)])
+    assert rows.rdd.getNumPartitions() < 40 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_long_file_in_many_tasks(spark, tmp_path):
+    """A file cut into parts keeps all records, each once, its first one too."""
+    (tmp_path / "long.fasta").write_text("before\n" + "".join(f">r{k}\n{'ACGT' * (k % 50 + 1)}\n" for k in range(2000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        got = [(r.header, r.length) for r in readers.read_fasta(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted(got) == sorted((f"r{k}", 4 * (k % 50 + 1)) for k in range(2000))
+
+
+SEQ = "AAACCGGTTTACGTAACCGG"
+
+
+@pytest.mark.parametrize(("location", "want"), [
+    ("1..3", "AAA"), ("4", "C"), ("<1..>3", "AAA"), ("complement(4..5)", "GG"), ("complement(1..6)", "CGGTTT"),
+    ("join(1..3,6..7)", "AAAGG"), ("join(complement(1..3),complement(4..5))", "TTTGG"), ("join(complement(1..3),6..7)", "TTTGG"),
+    ("complement(join(1..3,6..7))", "CCTTT"), ("join(1..2,complement(join(4..5,8..9)),12)", "AA" + "AAGG" + "C"), ("order(1..2,4..5)", "AACC"),
+    ("join(J00194.1:4..5,1..3)", "AAA"), ("complement(complement(4..6))", "CCG"), ("3^4", ""), ("join(2.4,10..11)", "AACTA"), ("join( 1..3,\n 4..5 )", "AAACC"),
+    ("19..40", "GG"), ("", ""), ("nonsense(1..2)", None), ("join(1..2", None), ("1..x", None), ("1..2)", None),
+])
+def test_locations(spark, location, want):
+    got = list(readers._cut([pa.RecordBatch.from_pydict({"header": ["h"], "location": [location], "seq": [SEQ]})]))[0]
+    assert got["seq"].to_pylist() == [want]
+
+
+def test_feature_sequences(spark):
+    kind = "record_id string, seq string, features array<struct<type:string,location:string,qualifiers:map<string,string>>>"
+    rows = [("R1", SEQ, [("CDS", "join(complement(1..3),6..7)", {"gene": "a"}), ("gene", "1..2", {}), ("CDS", "J1.1:1..2", {"product": "p"}), ("CDS", "bad(", {})]), ("R2", None, [("CDS", "1..2", {})]), ("R3", SEQ, [])]
+    got = {r.header: r.seq for r in readers.feature_sequences(spark.createDataFrame(rows, kind)).collect()}
+    assert got == {"R1 | CDS_a": "TTTGG", "R1 | CDS_p": "", "R1 | CDS_unknown": None, "R2 | CDS_unknown": ""}
+
+
 def test_lines_are_trimmed(spark, tmp_path):
     """Blanks around any line go, and nothing else."""
     (tmp_path / "in.fasta").write_text(">a\n AC \n  GT\nTT  \n>b\n1AC1\n2GT2\n")
