@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import dims, profile
 from ..shared import fresh_folder
-from ..sources import readers, writers
+from ..sources import fasta_files, readers, writers
 from .registry import Tables, query, text_of
 
 _DNA = "regexp_replace(translate({0}, 'abcdefghijklmnopqrstuvwxyzXU-', 'ABCDEFGHIJKLMNOPQRSTTVWNYZNT'), '[^ACGTRYSWKMBDHVN]', 'N', 'g')"
@@ -22,6 +22,10 @@ def _orders(t: Tables) -> DataFrame:
     return t.orders.select(F.concat(F.lit("o"), k, F.lit("|"), "o_orderstatus").alias("header"), F.md5(k).alias("seq"), "o_orderkey", "o_orderstatus")
 
 
+def _customers(t: Tables) -> DataFrame:
+    return t.customer.select("c_mktsegment", F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("header"), F.repeat(F.lit("ACGT"), F.lit(4)).alias("seq"))
+
+
 def _lines(df: DataFrame, folder: str) -> str:
     """df(value) as a text file; returns the folder."""
     df.select("value").write.text(folder)
@@ -39,12 +43,20 @@ def read_fasta(t: Tables) -> DataFrame:
 def read_fasta_dir(t: Tables) -> DataFrame:
     """One directory for each market segment, read as one table."""
     folder = fresh_folder(t.spark, "fasta-by")
-    rows = t.customer.select("c_mktsegment", F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("header"), F.repeat(F.lit("ACGT"), F.lit(4)).alias("seq"))
-    writers.write_fasta_by(rows, folder, "c_mktsegment", wrap=10)
+    writers.write_fasta_by(_customers(t), folder, "c_mktsegment", wrap=10)
     back = readers.read_fasta(t.spark, folder, recursive=True, pattern="*.txt")
     return back.select(F.regexp_extract("source_file", "c_mktsegment=([^/]+)/", 1).alias("segment"), "header", "length")
 
 
+@query("SELECT c_mktsegment AS segment, 'c' || c_custkey AS header, 16 AS length FROM customer")
+def write_named_fasta(t: Tables) -> DataFrame:
+    """One file for each market segment that carries its name, found by the reader's own pattern."""
+    folder = fresh_folder(t.spark, "fasta-named")
+    fasta_files.write_named(_customers(t), folder, "c_mktsegment", wrap=10)
+    back = readers.read_fasta(t.spark, folder, recursive=True)
+    return back.select(F.regexp_extract("source_file", r"/([^/.]+)(?:\.\d+)?\.fasta$", 1).alias("segment"), "header", "length")
+
+
 @query("SELECT 'o' || o_orderkey AS accession, o_orderstatus AS second FROM orders")
 def fasta_headers(t: Tables) -> DataFrame:
     folder = fresh_folder(t.spark, "fasta")
@@ -164,11 +176,11 @@ def read_cluster_profiles(t: Tables) -> DataFrame:
     return readers.read_cluster_profiles(t.spark, folder).select("cluster", "representative", text_of("hosts", "hosts"), "collection_date")
 
 
-def _genbank(t: Tables) -> DataFrame:
+def _genbank(t: Tables, place: Column | None = None) -> DataFrame:
     """Orders as GenBank records: a coding sequence over the first twelve letters, one in two on the other strand."""
     k = F.col("o_orderkey").cast("string")
     seq = F.lower(F.translate(F.md5(k), "0123456789abcdef", "ACGTACGTACGTACGT"))
-    place = F.when(F.col("o_orderkey") % 2 == 0, "complement(1..12)").otherwise("join(1..6,9..14)")
+    place = place if place is not None else F.when(F.col("o_orderkey") % 2 == 0, "complement(1..12)").otherwise("join(1..6,9..14)")
     text = F.concat(
         F.lit("LOCUS       R"), k, F.lit(" 32 bp\nDEFINITION  Order of\n            "), "o_orderstatus", F.lit(".\nVERSION     R"), k, F.lit(".1\nFEATURES             Location/Qualifiers\n     CDS             "), place,
         F.lit('\n                     /gene="G'), (F.col("o_orderkey") % 8).cast("string"), F.lit('"\nORIGIN\n        1 '), F.substring(seq, 1, 10), F.lit(" "), F.substring(seq, 11, 22), F.lit("\n//"),
@@ -191,6 +203,21 @@ def genbank_to_fasta(t: Tables) -> DataFrame:
     return readers.feature_sequences(records).unionByName(writers.genbank_to_fasta(records))
 
 
+_TURNED = "reverse(translate({}, 'ACGT', 'TGCA'))"
+
+
+@query(f"""
+SELECT 'R' || o_orderkey || '.1 | CDS_G' || (o_orderkey % 8) AS header, CASE o_orderkey % 6
+  WHEN 0 THEN {_TURNED.format(f"{_BASES}[1:3]")} || {_TURNED.format(f"{_BASES}[4:5]")}
+  WHEN 1 THEN {_TURNED.format(f"{_BASES}[1:3]")} || {_BASES}[6:7]
+  WHEN 2 THEN {_TURNED.format(f"{_BASES}[9:14]")} || {_TURNED.format(f"{_BASES}[1:6]")}
+  WHEN 3 THEN {_BASES}[4:8] WHEN 4 THEN {_BASES}[5:5] || {_BASES}[7:20] ELSE {_BASES}[2:3] || {_TURNED.format(f"{_BASES}[8:9]")} || {_TURNED.format(f"{_BASES}[5:6]")} END AS seq FROM orders""")
+def feature_locations(t: Tables) -> DataFrame:
+    """Joins of complements, both strands in one feature, a complement of a join, a remote span, single bases, and nested ones."""
+    forms = ["join(complement(1..3),complement(4..5))", "join(complement(1..3),6..7)", "complement(join(1..6,9..14))", "join(J00194.1:1..9,<4..>8)", "order(5,7..20)", "join(2..3,complement(join(5..6,8..9)))"]
+    return readers.feature_sequences(_genbank(t, F.element_at(F.array(*map(F.lit, forms)), (F.col("o_orderkey") % 6 + 1).cast("int"))))
+
+
 @query("SELECT c_custkey AS sample_id, CASE WHEN c_acctbal < 0 THEN 'failed' ELSE 'ok' END AS status FROM customer")
 def write_state(t: Tables) -> DataFrame:
     folder = fresh_folder(t.spark, "state")

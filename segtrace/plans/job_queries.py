@@ -195,11 +195,13 @@ def batch_counts(t: Tables) -> DataFrame:
     return samples.batch_counts(t.customer.select(F.when(F.col("c_acctbal") < 0, "failed").otherwise("OK").alias("status")))
 
 
-@query("""
+_IDENTIFIED = """
 WITH s AS (SELECT DISTINCT o_custkey AS c, o_orderkey % 4 AS kind FROM orders)
-SELECT 'o' || c || '_' || kind AS sample_name, CASE WHEN kind = 3 THEN 'Unassigned' WHEN c % 2 = 1 THEN 'L-BLAST' WHEN kind = 1 THEN 'C-BLAST' ELSE 'CD-HIT' END AS assigned_by,
-  CASE WHEN kind = 3 THEN 'Unassigned' ELSE 'c' || c END AS representative, CASE WHEN kind = 3 THEN NULL WHEN c % 2 = 1 THEN 'H1N1' ELSE 'H5N1' END AS genotype FROM s""")
-def identify(t: Tables) -> DataFrame:
+SELECT 'o' || c || '_' || kind AS sample_name, CASE WHEN {listed} THEN 'CD-HIT' WHEN kind = 3 THEN 'Unassigned' WHEN c % 2 = 1 THEN 'L-BLAST' WHEN kind = 1 THEN 'C-BLAST' ELSE 'CD-HIT' END AS assigned_by,
+  CASE WHEN kind = 3 AND NOT {listed} THEN 'Unassigned' ELSE 'c' || c END AS representative, CASE WHEN {listed} THEN 'H5N1' WHEN kind = 3 THEN NULL WHEN c % 2 = 1 THEN 'H1N1' ELSE 'H5N1' END AS genotype FROM s"""
+
+
+def _identified(t: Tables, members: DataFrame | None) -> DataFrame:
     """Sequences of 416 letters for each customer and kind of order: a copy of the customer's own (0), one with every fortieth
     letter changed (1), a piece of it behind other letters (2), or another (3). Customers of even keys represent clusters."""
     seqs = t.orders.select("o_custkey", (F.col("o_orderkey") % 4).alias("kind")).distinct()
@@ -213,10 +215,23 @@ def identify(t: Tables) -> DataFrame:
     even = F.col("c_custkey") % 2 == 0
     profiles = t.customer.filter(even).select(F.concat(F.lit(">C"), _text("c_custkey")).alias("cluster"), name.alias("representative"), *[_one(F.lit(v)).alias(c) for c, v in (("segments", "4"), ("genotypes", "H5N1"), ("hosts", "duck"), ("countries", "x"))], F.lit("2021").alias("collection_date"))
     meta = t.customer.select(name.alias("ACCESSION"), F.lit("H1N1").alias("GENOTYPE"), F.lit(4).alias("SEGMENT"), F.lit("pig").alias("HOST"), F.lit("x").alias("COUNTRY"), F.lit(None).cast("string").alias("COLLECTION_DATE"))
-    report = jobs.identify(rows.withColumn("length", F.length("seq")), None, database.filter(even).select("id", "seq"), database.select("id", "seq"), profiles, meta, k=24)
+    report = jobs.identify(rows.withColumn("length", F.length("seq")), members, database.filter(even).select("id", "seq"), database.select("id", "seq"), profiles, meta, k=24)
     return report.select("sample_name", "assigned_by", "representative", D.first_key(F.col("genotype")).alias("genotype"))
 
 
+@query(_IDENTIFIED.format(listed="false"))
+def identify(t: Tables) -> DataFrame:
+    return _identified(t, None)
+
+
+@query(_IDENTIFIED.format(listed="(c % 2 = 0 AND (kind = 3 OR kind = 1 AND c % 4 = 0))"))
+def identify_by_members(t: Tables) -> DataFrame:
+    """A cluster table has sequences that are like no representative as members, and worn ones that the search would find."""
+    listed = t.orders.filter("o_custkey % 2 = 0 AND (o_orderkey % 4 = 3 OR o_orderkey % 4 = 1 AND o_custkey % 4 = 0)").select("o_custkey", (F.col("o_orderkey") % 4).alias("kind")).distinct()
+    name = F.concat(F.lit("o"), _text("o_custkey"), F.lit("_"), _text("kind"))
+    return _identified(t, listed.select(F.concat(F.lit(">C"), _text("o_custkey")).alias("cluster"), name.alias("accession"), F.lit(False).alias("is_rep"), F.lit(99.5).alias("identity")))
+
+
 _REGION = "SELECT c_mktsegment AS g, {level} AS k, count(*) AS w FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL"
 _SHARES = "SELECT g, '{' || string_agg('''' || k || ''': ' || printf('%.2f', units / 100.0::DOUBLE), ', ' ORDER BY units DESC, k) || '}' AS shares FROM x GROUP BY g"
 
@@ -241,9 +256,12 @@ def report_rollup(t: Tables) -> DataFrame:
 
 @query(_SAMPLE_SQL + """,
 o AS (SELECT sample_id, coalesce(nullif(coalesce(h, '') || coalesce(n, ''), ''), 'Undetermined') AS genotype FROM x),
-m AS (SELECT user_id AS sample_id, string_agg(DISTINCT 'PB2:' || (event_id % 3) || 'K', ';' ORDER BY 'PB2:' || (event_id % 3) || 'K') AS muts FROM events GROUP BY 1)
-SELECT c_custkey AS sample_id, CASE WHEN o.sample_id IS NULL THEN 'failed' ELSE 'ok' END AS status, coalesce(genotype, '') AS genotype, coalesce(muts, '') AS mutations_of_interest, CASE WHEN c_custkey % 2 = 0 THEN '2.3' ELSE '' END AS clade
-FROM customer LEFT JOIN o ON c_custkey = o.sample_id LEFT JOIN m ON c_custkey = m.sample_id""")
+m AS (SELECT user_id AS sample_id, string_agg(DISTINCT 'PB2:' || (event_id % 3) || 'K', ';' ORDER BY 'PB2:' || (event_id % 3) || 'K') AS muts FROM events GROUP BY 1),
+k AS (SELECT user_id AS sample_id, arg_max(event_type, [(event_id % 3 > 0)::INT + (event_id % 2)::INT, -event_id]) AS gt, arg_min(event_id % 3, event_id) FILTER (WHERE event_id % 3 > 0) AS pb2,
+  arg_min('7', event_id) FILTER (WHERE event_id % 2 = 1) AS ns FROM events GROUP BY 1)
+SELECT c_custkey AS sample_id, CASE WHEN o.sample_id IS NULL THEN 'failed' ELSE 'ok' END AS status, coalesce(genotype, '') AS genotype, coalesce(muts, '') AS mutations_of_interest, CASE WHEN c_custkey % 2 = 0 THEN '2.3' ELSE '' END AS clade,
+  coalesce(gt, '') AS genin2_genotype, coalesce(pb2::VARCHAR, '') AS genin2_pb2, coalesce(ns, '') AS genin2_ns
+FROM customer LEFT JOIN o ON c_custkey = o.sample_id LEFT JOIN m ON c_custkey = m.sample_id LEFT JOIN k ON c_custkey = k.sample_id""")
 def batch_report(t: Tables) -> DataFrame:
     """One row for each customer: whether there are orders, and what they, the events and the clade table tell."""
     rows = _sample_rows(t)
@@ -251,8 +269,10 @@ def batch_report(t: Tables) -> DataFrame:
     inputs = t.customer.select(F.col("c_custkey").alias("sample_id"), F.col("c_name").alias("input_file"), F.lit("tag").alias("file_tag"))
     marks = t.events.select(F.col("user_id").alias("sample"), F.concat(F.lit("PB2:"), (F.col("event_id") % 3).cast("string"), F.lit("K")).alias("label"))
     clades = t.customer.filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("sample_id"), F.lit("2.3").alias("clade"))
-    cells = t.events.filter("event_id < 0").select(F.col("user_id").alias("sample_id"), F.col("event_id").alias("ord"), *[F.lit("").alias(c) for c in ("genotype", "sub_genotype", *(s for s in SEGMENTS if s != "HA"))])
-    return jobs.batch_report(report, inputs, marks, clades, cells).select("sample_id", "status", "genotype", "mutations_of_interest", "clade")
+    n = F.col("event_id")
+    filled = {"genotype": F.col("event_type"), "PB2": F.when(n % 3 > 0, (n % 3).cast("string")).otherwise("?"), "NS": F.when(n % 2 == 1, "7")}
+    cells = t.events.select(F.col("user_id").alias("sample_id"), n.alias("ord"), *[filled.get(c, F.lit("")).alias(c) for c in ("genotype", "sub_genotype", *(s for s in SEGMENTS if s != "HA"))])
+    return jobs.batch_report(report, inputs, marks, clades, cells).select("sample_id", "status", "genotype", "mutations_of_interest", "clade", "genin2_genotype", "genin2_pb2", "genin2_ns")
 
 
 @query("""

@@ -25,7 +25,7 @@ def write_fasta(df: DataFrame, path: str, wrap: int | None = None, replace: bool
 
 
 def write_fasta_by(df: DataFrame, path: str, key: str, wrap: int | None = 80, replace: bool = False) -> None:
-    """One directory for each value of key."""
+    """One directory for each value of key; for files named by the key see fasta_files.write_named."""
     df.select(F.col(key), fasta_text(F.col("header"), F.col("seq"), wrap).alias("value")).write.mode(_mode(replace)).partitionBy(key).text(path)
 
 

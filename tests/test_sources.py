@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from segtrace.operators import assign, dims
-from segtrace.sources import readers, writers
+from segtrace.sources import fasta_files, readers, writers
 
 GEO = {"tree": {
     "Americas": {"rank": "region", "children": {"Northern America": {"rank": "sub-region", "children": {"United States of America": {"rank": "country"}}},
@@ -71,6 +71,28 @@ def test_long_file_in_many_tasks(spark, tmp_path):
     assert sorted(got) == sorted((f"r{k}", 4 * (k % 50 + 1)) for k in range(2000))
 
 
+def test_named_files(spark, tmp_path):
+    """A file for each key, found by the reader's own pattern; hot keys over several tasks, odd keys, replacing, and a job that fails."""
+    rows = [(f"s{k % 3}", f"h{k}", "ACGT" * (k % 9)) for k in range(60)] + [("hot", f"x{k}", "AC") for k in range(300)] + [("a/b", "h1", "AC"), ("A_B", "h2", "GT"), (None, "h3", "TT"), ("", "h4", None), ("../up", "h5", "A"), (".hid", "h6", "C")]
+    df, out = spark.createDataFrame(rows, "sample string, header string, seq string"), str(tmp_path / "named")
+    fasta_files.write_named(df.repartition(4), out, "sample", wrap=5)
+    names = {p.name for p in tmp_path.joinpath("named").iterdir()}
+    assert {"s0.fasta", "s1.fasta", "s2.fasta", "hot.fasta", "unnamed.fasta", "hid.fasta"} <= names and not any(n.startswith(("_", ".")) for n in names)
+    assert len({n.lower() for n in names}) == len(names) and {n for n in names if n.lower().startswith("a_b")} in ({"A_B.fasta", "a_b.2.fasta"}, {"A_B.2.fasta", "a_b.fasta"})
+    back = readers.read_fasta(spark, out, recursive=True).select("header", "seq", F.regexp_extract("source_file", r"/([^/]+?)(?:\.\d+)?\.fasta$", 1).alias("k")).collect()
+    assert sorted((r.header, r.seq, r.k) for r in back) == sorted((h, q or "", fasta_files.safe_name(k)) for k, h, q in rows)
+    assert (tmp_path / "named" / "s1.fasta").read_text().split(">")[2].split("\n")[1] in ("ACGTA", "ACGT", "")
+    with pytest.raises(FileExistsError):
+        fasta_files.write_named(df, out, "sample")
+    fasta_files.write_named(df.filter("sample = 's0'"), out, "sample", replace=True)
+    assert {p.name for p in tmp_path.joinpath("named").iterdir()} == {"s0.fasta"}
+    bad = df.withColumn("seq", F.when(F.col("header") == "h59", F.raise_error(F.lit("stop"))).otherwise(F.col("seq")))
+    with pytest.raises(Exception, match="stop"):
+        fasta_files.write_named(bad, str(tmp_path / "failed"), "sample")
+    assert not [p for p in tmp_path.joinpath("failed").rglob("*") if p.is_file()] if (tmp_path / "failed").exists() else True
+    fasta_files.write_named(df.limit(0), str(tmp_path / "none"), "sample")
+
+
 SEQ = "AAACCGGTTTACGTAACCGG"
 
 
