@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.domain import AMERICAS, LENGTHS, MUTATIONS, RANKS, REGION_SPELLING, SEGMENTS
 from ..functions.text import mutation_label, norm_key
+from ..shared import stored
 
 
 def segment_dim(spark: SparkSession, lengths: dict[str, tuple[int, int]] = LENGTHS) -> DataFrame:
@@ -42,6 +43,38 @@ def walk_tree(tree: DataFrame, max_depth: int = 40) -> DataFrame:
     )
 
 
+def walk_edges(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent", most_rounds: int = 40) -> DataFrame:
+    """(name, rank, depth, lineage) of every node of nodes(id, parent, name, rank), the rows that walk_tree has, for trees of any size.
+
+    Pointer doubling: each node keeps the part of its lineage that it has and the node above that part; a round puts the part of that node in front, so
+    parts double and a tree of depth d takes log2(d) + 1 joins. Nodes whose lineage is whole take no part in later rounds. A null parent, one that the table lacks, or the node itself
+    as parent makes a root; a repeated id counts once (its smallest row), a null id not at all. ValueError if parents form a circle.
+    """
+    rows = nodes.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(F.struct(F.col(parent_col).alias("parent"), "name", "rank")).alias("x"))
+    rows = rows.select("id", F.nullif("x.parent", "id").alias("parent"), "x.name", "x.rank")
+    there = rows.select(F.col("id").alias("known"))
+    part = F.array(F.struct("name", "rank"))
+    open_ = stored(rows.join(there, F.col("parent") == F.col("known"), "left").select("id", F.col("known").alias("up"), part.alias("lineage")), "tree")
+    parts = []
+    for _ in range(most_rounds):
+        parts.append(open_.filter("up IS NULL"))
+        left = open_.filter("up IS NOT NULL")
+        if not left.limit(1).count():
+            break
+        # What the node above has by now: whole, of an earlier round, or still open.
+        above = left.select(F.col("id").alias("a"), F.col("up").alias("next"), F.col("lineage").alias("front"))
+        for done in parts:
+            above = above.unionByName(done.select(F.col("id").alias("a"), F.col("up").alias("next"), F.col("lineage").alias("front")))
+        open_ = stored(left.join(above, F.col("up") == F.col("a")).select("id", F.col("next").alias("up"), F.concat("front", "lineage").alias("lineage")), "tree")
+    else:
+        raise ValueError("parents form a circle, or the tree is deeper than 2^most_rounds")
+    whole = parts[0]
+    for more in parts[1:]:
+        whole = whole.unionByName(more)
+    last = F.element_at("lineage", -1)
+    return whole.select(last["name"].alias("name"), last["rank"].alias("rank"), F.size("lineage").alias("depth"), "lineage")
+
+
 def geo_dim(nodes: DataFrame, leaf_rank: str = "country") -> DataFrame:
     """(country, region, continent): a country's parent and root; the Americas are split by region."""
     region = F.coalesce(F.try_element_at("lineage", F.lit(-2))["name"], F.lit("Unknown"))

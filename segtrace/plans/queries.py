@@ -503,6 +503,21 @@ def walk_tree(t: Tables) -> DataFrame:
     return nodes.select("name", "rank", F.col("depth").cast("int").alias("depth"), F.array_join(F.transform("lineage", lambda x: x["name"]), " > ").alias("lineage"))
 
 
+@query("""
+SELECT r_name AS name, 'region' AS rank, 1 AS depth, r_name AS lineage FROM region
+UNION ALL SELECT n_name, 'country', 2, r_name || ' > ' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT c_name, 'customer', 3, r_name || ' > ' || n_name || ' > ' || c_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT 'o' || o_orderkey, 'order', 4, r_name || ' > ' || n_name || ' > ' || c_name || ' > o' || o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def walk_edges(t: Tables) -> DataFrame:
+    """Regions, nations, customers and orders as one table of nodes and parents."""
+    key = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    nodes = t.region.select(key("r", "r_regionkey").alias("id"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("name"), F.lit("region").alias("rank"))
+    nodes = nodes.unionAll(t.nation.select(key("n", "n_nationkey"), key("r", "n_regionkey"), "n_name", F.lit("country")))
+    nodes = nodes.unionAll(t.customer.select(key("c", "c_custkey"), key("n", "c_nationkey"), "c_name", F.lit("customer")))
+    nodes = nodes.unionAll(t.orders.select(key("o", "o_orderkey"), key("c", "o_custkey"), key("o", "o_orderkey"), F.lit("order")))
+    return dims.walk_edges(nodes).select("name", "rank", "depth", F.array_join(F.transform("lineage", lambda x: x["name"]), " > ").alias("lineage"))
+
+
 @query("""SELECT c_custkey, r_name AS continent, r_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def geo_dimension(t: Tables) -> DataFrame:
     geo = dims.geo_dim(dims.walk_tree(_tree(t)))

@@ -1,6 +1,7 @@
 """Readers and writers on small files."""
 
 import json
+import random
 
 import pyarrow as pa
 import pytest
@@ -33,6 +34,26 @@ def trees(spark, tmp_path_factory):
     return out
 
 
+def test_walk_edges(spark):
+    """Chains, stars and random trees against plain walks; roots without, with a missing, and with themselves as parent; circles."""
+    rng = random.Random(1)
+    parent = {k: (None if k == 0 else k - 1) for k in range(150)} | {1000 + k: rng.choice([1000, 1000 + rng.randrange(max(k, 1)), None]) if k else None for k in range(300)} | {5000: 9999, 5001: 5001, 5002: 5001}
+    rows = [(k, p, f"n{k}", f"r{k % 5}") for k, p in parent.items()] + [(7, 6, "n7", "r2"), (None, 3, "x", "y")]
+    got = {r.name: (r.rank, r.depth, [tuple(x) for x in r.lineage]) for r in dims.walk_edges(spark.createDataFrame(rows, "id long, parent long, name string, rank string")).collect()}
+
+    def path(k):
+        above = parent[k] if parent[k] in parent and parent[k] != k else None
+        return [*(path(above) if above is not None else []), (f"n{k}", f"r{k % 5}")]
+
+    assert got == {f"n{k}": (f"r{k % 5}", len(path(k)), path(k)) for k in parent}
+    with pytest.raises(ValueError, match="circle"):
+        dims.walk_edges(spark.createDataFrame([(1, 2, "a", "r"), (2, 1, "b", "r")], "id long, parent long, name string, rank string"), most_rounds=5)
+    nodes = dims.walk_tree(spark.createDataFrame([(json.dumps(TAXA["tree"]),)], "t string").select(F.parse_json("t").alias("tree")))
+    edges = nodes.select(F.col("name").alias("id"), F.try_element_at("lineage", F.lit(-2))["name"].alias("parent"), "name", "rank")
+    key = lambda df: sorted((r.name, r.rank, r.depth, [tuple(x) for x in r.lineage]) for r in df.collect())
+    assert key(dims.walk_edges(edges)) == key(nodes)
+
+
 def test_fasta_round_trip(spark, tmp_path):
     text = ">a;1|x desc\nacgt\nACx-\n\n>b\nUUU\n>a;1|x desc\nGGGG\n"
     (tmp_path / "in.fasta").write_text(text)
