@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..functions.domain import LENGTHS, SEGMENTS, UPDATE_LENGTHS
 from ..operators import assign, dims, profile, quality, samples
 from ..schemas import with_defaults
+from ..shared import stored
 from . import jobs
 from .queries import _FOUND_SQL, _LR, _SAMPLE_SQL, _SEG, _markers, _nation_entries, _sample_rows, _tree
 from .registry import Tables, query, text_of
@@ -204,18 +205,19 @@ SELECT 'o' || c || '_' || kind AS sample_name, CASE WHEN {listed} THEN 'CD-HIT'
 def _identified(t: Tables, members: DataFrame | None) -> DataFrame:
     """Sequences of 416 letters for each customer and kind of order: a copy of the customer's own (0), one with every fortieth
     letter changed (1), a piece of it behind other letters (2), or another (3). Customers of even keys represent clusters."""
-    seqs = t.orders.select("o_custkey", (F.col("o_orderkey") % 4).alias("kind")).distinct()
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))  # the letters take longer than the bytes of the keys suggest
+    seqs = t.orders.select("o_custkey", (F.col("o_orderkey") % 4).alias("kind")).distinct().repartition(tasks, "o_custkey", "kind")
     own = _dna(F.concat(F.lit("c"), _text("o_custkey")), 13)
     worn = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: F.concat(F.substring(own, i * 40 + 1, F.lit(39)), F.translate(F.substring(own, i * 40 + 40, F.lit(1)), "ACGT", "CGTA"))), "")
     piece = F.substring(own, 1, 416)
     seq = F.when(F.col("kind") == 0, own).when(F.col("kind") == 1, worn).when(F.col("kind") == 2, piece).otherwise(_dna(F.concat(F.lit("other"), _text("o_custkey")), 13))
     rows = seqs.select(F.concat(F.lit("s"), (F.col("o_custkey") % 10).cast("string")).alias("sample_id"), (F.col("o_custkey") * 4 + F.col("kind")).alias("ord"), F.concat(F.lit("o"), _text("o_custkey"), F.lit("_"), _text("kind")).alias("header"), seq.alias("seq"))
     name = F.concat(F.lit("c"), _text("c_custkey"))
-    database = t.customer.select(name.alias("id"), _dna(name, 13).alias("seq"), "c_custkey")
+    database = stored(t.customer.repartition(tasks, "c_custkey").select(name.alias("id"), _dna(name, 13).alias("seq"), "c_custkey"), "database")
     even = F.col("c_custkey") % 2 == 0
     profiles = t.customer.filter(even).select(F.concat(F.lit(">C"), _text("c_custkey")).alias("cluster"), name.alias("representative"), *[_one(F.lit(v)).alias(c) for c, v in (("segments", "4"), ("genotypes", "H5N1"), ("hosts", "duck"), ("countries", "x"))], F.lit("2021").alias("collection_date"))
     meta = t.customer.select(name.alias("ACCESSION"), F.lit("H1N1").alias("GENOTYPE"), F.lit(4).alias("SEGMENT"), F.lit("pig").alias("HOST"), F.lit("x").alias("COUNTRY"), F.lit(None).cast("string").alias("COLLECTION_DATE"))
-    report = jobs.identify(rows.withColumn("length", F.length("seq")), members, database.filter(even).select("id", "seq"), database.select("id", "seq"), profiles, meta, k=24)
+    report = jobs.identify(stored(rows.withColumn("length", F.length("seq")), "sequences"), members, database.filter(even).select("id", "seq"), database.select("id", "seq"), profiles, meta, k=24)
     return report.select("sample_name", "assigned_by", "representative", D.first_key(F.col("genotype")).alias("genotype"))
 
 
