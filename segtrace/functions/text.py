@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .domain import LOCUS_OF, MUTATIONS, SEGMENT_OF_LOCUS, SEGMENT_WORDS, SEGMENTS
+from .domain import LOCUS_OF, SEGMENT_OF_LOCUS, SEGMENT_WORDS, SEGMENTS
 
 AMBIGUOUS = "RYSWKMBDHVN"
 
@@ -166,13 +166,6 @@ def mutation_label(segment: Column, mutation: Column) -> Column:
     return F.concat(out, F.lit(":"), mutation)
 
 
-def of_interest(segment: Column, mutation: Column) -> Column:
-    hit = F.lit(False)
-    for s, muts in MUTATIONS.items():
-        hit = hit | ((segment == s) & mutation.isin(*muts))
-    return hit
-
-
 def sample_id(header: Column, pattern: str) -> Column:
     """The group `sample` of a regular expression, else its first group; null without a match or when blank."""
     java = pattern.replace("(?P<", "(?<").replace("(?P=", "(?=")

@@ -142,6 +142,11 @@ def header_accessions(df: DataFrame, column: str = "header") -> DataFrame:
     return df.select(ncbi_accession(F.concat(F.lit(">"), F.regexp_replace(column, "^>", ""))).alias("accession")).filter("accession is not null").distinct()
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n rows without replacement (all if there are fewer); a sampling operator, so the limit is its purpose."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_n(df: DataFrame, n: int, seed: int = 0, key: list[str] | None = None) -> DataFrame:
+    """n rows without replacement (all if there are fewer); a sampling operator, so the limit is its purpose.
+
+    Rows are taken in the order of a hash of the seed and the key columns (all columns, which then can't be maps, without a key), so a seed gives the same rows
+    however the table is partitioned; equal keys stand in for one another.
+    """
+    columns = [F.col(f"`{c}`") for c in (key or df.columns)]
+    return df.orderBy(F.xxhash64(F.lit(seed), *columns), *columns).limit(n)

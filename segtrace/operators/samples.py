@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dist import first_key
 from ..functions.domain import CLADE_SUBTYPES, CONSTELLATION_CLADE, CONSTELLATION_SEGMENTS, LOCUS_ORDER, SEGMENTS, SUMMARY_FIELDS
-from ..functions.text import leading_token, mutation_label, mutation_parts, of_interest, safe_name, sample_id, segment_name
+from ..functions.text import leading_token, mutation_parts, safe_name, sample_id, segment_name
 from ..schemas import with_defaults
+from .dims import mutation_dim
 
 
 def demultiplex(sequences: DataFrame, pattern: str, header: str = "header") -> tuple[DataFrame, DataFrame]:
@@ -99,13 +100,13 @@ def ordered_labels(labels: Column) -> Column:
 
 
 def mutations_of_interest(markers: DataFrame, effects: DataFrame | None = None) -> DataFrame:
-    """(sample, locus, segment, mutation, label, effect): distinct markers that the catalogue lists for their own segment."""
-    rows = markers.select("sample", mutation_parts(F.col("raw")).alias("m")).filter("m is not null")
-    rows = rows.select("sample", "m.locus", "m.segment", "m.mutation").filter(of_interest(F.col("segment"), F.col("mutation"))).distinct()
-    rows = rows.withColumn("label", mutation_label(F.col("segment"), F.col("mutation")))
-    if effects is None:
-        return rows.withColumn("effect", F.lit(None).cast("string"))
-    return rows.join(effects, ["segment", "mutation"], "left").select("sample", "locus", "segment", "mutation", "label", "effect")
+    """(sample, locus, segment, mutation, label, effect): distinct markers that the catalogue lists for their own segment.
+
+    Repeats go first, then the distinct texts are taken apart, and an equi-join with the catalogue says which count and what they are called.
+    """
+    rows = markers.select("sample", "raw").distinct().select("sample", mutation_parts(F.col("raw")).alias("m")).filter("m is not null")
+    rows = rows.select("sample", "m.locus", "m.segment", "m.mutation").distinct()
+    return rows.join(mutation_dim(markers.sparkSession, effects), ["segment", "mutation"]).select("sample", "locus", "segment", "mutation", "label", "effect")
 
 
 def marker_order() -> list[Column]:

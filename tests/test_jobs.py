@@ -155,6 +155,14 @@ def test_identify(spark):
     assert {r.sample_name: r.length_class for r in background.collect()}["near"] == "below"
 
 
+def test_sample_is_repeatable(spark):
+    """A seed draws the same rows whatever the partitions, another seed others; fewer rows are all taken."""
+    df = spark.range(500).selectExpr("id", "id % 7 AS g")
+    drawn = [sorted(r.id for r in quality.sample_n(d, 40, seed).collect()) for d, seed in ((df, 1), (df.repartition(13, "g"), 1), (df.repartition(3), 1), (df, 2))]
+    assert drawn[0] == drawn[1] == drawn[2] != drawn[3] and len(set(drawn[0])) == 40
+    assert quality.sample_n(df.limit(5), 40).count() == 5 and quality.sample_n(df, 3, key=["id"]).count() == 3
+
+
 def test_demultiplex(spark):
     df = spark.createDataFrame([("EPI_ISL_1|HA", "A"), ("EPI_ISL_1|NA", "C")], "header string, seq string")
     pattern = r"(?P<sample>EPI_ISL_\d+)"
