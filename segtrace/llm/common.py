@@ -59,6 +59,15 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def refuse_full(folder: str) -> None:
+    """ValueError if the folder holds files: parts of an earlier run would be read as records."""
+    from pyarrow import fs
+
+    store, base = file_system(folder)
+    if store.get_file_info(fs.FileSelector(base, allow_not_found=True)):
+        raise ValueError(f"{folder} holds files; parts of an earlier run would be read as records")
+
+
 def crc_mod(id_col: str, n: int) -> Column:
     """crc32 of the id as text, mod n; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(n)).cast("int")

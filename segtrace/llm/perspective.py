@@ -55,7 +55,7 @@ def rotate(df: DataFrame, template: Template = Template(), block_turns: int = 64
     t = template
     turns = own(df, conv=conv_col, turn=turn_col, role=role_col, text=text_col)
     safe = lambda c: F.replace(c, F.lit("<|"), F.lit("<\\|"))
-    turns = turns.withColumns({"role": safe(F.coalesce(F.col("role").cast("string"), F.lit(t.nameless))), "text": safe(F.coalesce("text", F.lit(""))), "block": F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-1).cast("long"))})
+    turns = turns.withColumns({"role": F.replace(safe(F.coalesce(F.col("role").cast("string"), F.lit(t.nameless))), F.lit("|>"), F.lit("|\\>")), "text": safe(F.coalesce("text", F.lit(""))), "block": F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-1).cast("long"))})
     turns = turns.withColumn("piece", F.lit(0).cast("long"))
     over = saved(turns.groupBy(F.col("conv").alias("oc"), F.col("block").alias("ob")).count().filter(F.col("count") > 2 * block_turns), "oversized")
     if over.limit(1).count():

@@ -158,7 +158,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN '
   CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM m
 """,
     "op8_perspectives": r"""
-WITH t AS (SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '<\|') AS role, replace(coalesce(text, ''), '<|', '<\|') AS text, coalesce(turn // 64, -1) AS block,
+WITH t AS (SELECT conv_id, turn, replace(replace(coalesce(role, 'unknown'), '<|', '<\|'), '|>', '|\>') AS role, replace(coalesce(text, ''), '<|', '<\|') AS text, coalesce(turn // 64, -1) AS block,
   CASE WHEN count(*) OVER (PARTITION BY conv_id, turn // 64) > 128 THEN (row_number() OVER (PARTITION BY conv_id, turn // 64 ORDER BY turn NULLS FIRST, role, text) - 1) // 64 ELSE 0 END AS piece FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
 r AS (SELECT t.*, speaker, CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = speaker THEN '<|assistant|>' || chr(10)

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, file_system, own, saved, shared_dir
+from .common import batches_of, file_system, own, refuse_full, saved, shared_dir
 from .records import frame, messages, parse_message, unframe
 from .words import slices, string_hashes
 
@@ -306,7 +306,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_
     """
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "tokens")
-    _refuse_full(folder)
+    refuse_full(folder)
     size = docs.agg(F.sum(F.octet_length(f"`{text_col}`"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes), min(spark.sparkContext.defaultParallelism, -(-size // (8 << 20))))
     rows = own(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), "text", F.xxhash64("text").alias("hash"))
@@ -317,14 +317,6 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_
     return folder
 
 
-def _refuse_full(folder: str) -> None:
-    from pyarrow import fs
-
-    store, base = file_system(folder)
-    if store.get_file_info(fs.FileSelector(base, allow_not_found=True)):
-        raise ValueError(f"{folder} holds files; parts of an earlier run would be read as records")
-
-
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("shard int, records long, tokens long, bytes long, start long").parquet(f"{folder}/manifest")
 

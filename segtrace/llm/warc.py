@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
-from .common import file_system, own, saved, shared_dir
+from .common import file_system, own, refuse_full, saved, shared_dir
 from .urls import build_filter, probed
 
 SCHEMA = (
@@ -303,8 +303,9 @@ def _with_filters(rows: DataFrame, again: DataFrame, n: int, min_bytes: int) ->
 
 
 def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, folder: str | None = None) -> str:
-    """Write pages as WARC files below folder (a new one in the shared folder if None); returns the folder."""
+    """Write pages as WARC files below folder, which must be new or empty (one in the shared folder if None); returns the folder."""
     folder = folder or shared_dir(pages.sparkSession, "warc")
+    refuse_full(folder)
     records = with_roles(own(pages, id=id_col, url=url_col, payload=payload_col), min_bytes)
     saved(write_warc(records, folder), "manifest")
     return folder
