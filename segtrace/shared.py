@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,18 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 200) -> Iterator[None]:
+    """Hand so many rows at once to Python in plans that run inside the block: pairs of long texts fill memory soon. The setting is put back after it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: what several steps need is computed once, and lost executors cost no more."""
     path = fresh_folder(df.sparkSession, name)
