@@ -55,7 +55,9 @@ def read_clusters(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(cluster, member_idx, accession, length, is_rep, strand, identity) of cluster text files."""
     rows = spark.read.option("lineSep", "\n>Cluster ").text(path)
     lines = F.split(F.regexp_replace("value", "^>Cluster ", ""), r"\r?\n")
-    each = rows.select(F.concat(F.lit(">Cluster "), F.trim(lines[0])).alias("cluster"), F.explode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1)))).alias("line"))
+    # Two steps: beside the explode, the cluster's name would be cut out of the whole record again for each of its lines.
+    records = rows.select(F.concat(F.lit(">Cluster "), F.trim(lines[0])).alias("cluster"), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))).alias("lines"))
+    each = records.select("cluster", F.explode("lines").alias("line"))
     part = lambda p: F.regexp_extract("line", p, 1)
     return each.filter(F.trim("line") != "").select(
         "cluster",
