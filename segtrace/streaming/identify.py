@@ -27,8 +27,12 @@ def each_batch(stream: DataFrame, job: Callable[[DataFrame], DataFrame], out: st
 
 
 def running_best(hits: DataFrame, query: str, score: str, value: str) -> DataFrame:
-    """Best value for each query over all batches so far (output mode complete or update); of equal scores the largest value."""
-    return hits.groupBy(query).agg(F.max(score).alias(score), F.max_by(value, F.struct(F.col(score).alias("s"), F.col(value).alias("v"))).alias(value))
+    """Best value for each query over all batches so far (output mode complete or update); of equal scores the smallest value, as first come in order. A row
+    without a score or a value is no hit."""
+    # The largest score is the least negative one; NaN, the largest of all, stays so when turned.
+    place = F.struct((~F.isnan(score)).alias("number"), (-F.col(score)).alias("turned"), F.col(value).alias("v"))
+    best = F.min_by(value, F.when(F.col(score).isNotNull() & F.col(value).isNotNull(), place))
+    return hits.groupBy(query).agg(F.max(score).alias(score), best.alias(value))
 
 
 def windowed_counts(events: DataFrame, time: str, key: str, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
