@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import json
 import os
 import re
@@ -273,7 +274,9 @@ def _writer(folder: str, path: str, end_id: int):
                 index.write(np.stack([size + offset[:-1], tokens + np.cumsum(many) - many], axis=1).astype("<i8").tobytes())
                 records, tokens, size = records + len(out), tokens + len(ids), size + int(offset[-1])
             index.write(np.array([size, tokens], "<i8").tobytes())
-        coder.forget_all()
+        del coder
+        encoder.cache_clear()  # a waiting worker would keep some 90 MB of tokenizers, which take about a second to load again
+        gc.collect()
         _give_back()
         for part, name in zip(parts, names, strict=True):
             if records:
@@ -300,7 +303,7 @@ def running_start(rows: DataFrame, place: str, value: str, out: str, span: int =
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, shard_bytes: int = 96 << 20) -> str:
     """Write the ids of all texts, in rising order of the id, below a folder that must be new or empty; its name. A file has the ids
-    of about shard_bytes of text; what a task has learnt of its pieces it forgets at its end, so a worker that waits holds little.
+    of about shard_bytes of text; a task's tokenizer and what it has learnt of its pieces are forgotten at its end, so a worker that waits holds little.
 
     Files: part-NNNNNN.tfrecord and .index, in the order of their numbers, and manifest (shard, records, tokens, bytes, start).
     """
