@@ -389,9 +389,10 @@ def read_records(spark: SparkSession, folder: str, entries: DataFrame | None = N
                 ends = np.append(0, np.cumsum(many[a:b]))
                 if ends[-1] != len(ids):
                     raise ValueError(f"{name}: the index says {ends[-1]} ids, the records have {len(ids)}")
-                raw, cuts = memoryview(ids.tobytes()), (4 * ends).tolist()
-                texts = pa.array([raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], pa.binary())
-                columns = [pa.array([i for i, *_ in got], pa.int64()), pa.array(shard[a:b]), pa.array(n[a:b]), pa.array(start[a:b]), texts]
+                # not from a list of memoryviews: pyarrow (23.0.1) never lets go of what is behind them
+                cuts = pa.array(4 * ends).cast(pa.int32())
+                raw = pa.Array.from_buffers(pa.binary(), b - a, [None, cuts.buffers()[1], pa.py_buffer(ids)])
+                columns = [pa.array([i for i, *_ in got], pa.int64()), pa.array(shard[a:b]), pa.array(n[a:b]), pa.array(start[a:b]), raw]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "shard", "n", "start", "ids"])
         if source is not None:
             source.close()

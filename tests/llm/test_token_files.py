@@ -1,13 +1,16 @@
 """Records and token files: checksums bit by bit, the library's encoding of whole texts, round trips, damage, odd rows."""
 
+import gc
 import os
 import random
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from conftest_data import DOCS, SF, docs_frame
 from hypothesis import given, settings
@@ -127,6 +130,30 @@ def test_files_in_any_order(spark):
         write_tokens(docs, PATH, folder)
 
 
+class Taken:
+    """Stands in for the entries of read_records: keeps the function that Spark's workers would run."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, read, _):
+        return read
+
+
+def test_readers_keep_nothing_of_what_they_have_read(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat(concat('some text ', id, ' '), 5000) AS text")
+    folder = write_tokens(docs, PATH)
+    index, read = read_index(spark, folder).toArrow().to_batches(), read_records(spark, folder, Taken())
+    tracemalloc.start()
+    try:
+        many = [sum(int(pc.sum(pc.binary_length(batch.column(4))).as_py()) for batch in read(iter(index))) for _ in range(3)]
+        gc.collect()
+        kept, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert many[0] > 2_000_000 and len(set(many)) == 1 and kept < many[0] // 4
+
+
 def test_damage_is_seen(spark):
     folder = write_tokens(spark.createDataFrame([(1, "some text"), (2, "more")], "doc_id long, text string"), PATH)
     base = folder.removeprefix("file:").replace("//", "/")
