@@ -18,8 +18,11 @@ Memory. A task holds about `tokens_per_block` tokens while it gathers triples, o
 tokens) while it builds a level, and at most `open_bytes` of opened files, the least recently used of which go first.
 Where each level is cut is itself a file (`index`), so what is sent to a task doesn't grow with the corpus.
 
-Scoring. Tasks map the files into memory and look up the distinct pairs and triples of a few megabytes of
-texts at a time, in order. Only pages that are touched are read, and all tasks of a machine share them; where the
+A look-up in a shard has a price of its own, however few keys it is for, so it is made for more at a time the more shards there are: for
+the texts of up to 8 slices of some megabytes, and for the last words of up to 8 shards. Else texts x shards (and shards x shards) grow with the square of the corpus.
+
+Scoring. Tasks map the files into memory and look up the distinct pairs and triples of a block of
+texts at a time, in order; the tokens themselves are worked on a few megabytes at a time. Only pages that are touched are read, and all tasks of a machine share them; where the
 shared folder isn't mounted, only the arrays that a lookup needs are read, each by its range.
 
 Defined cases: a null or empty text has one token, the end; null ids are scored but not learnt from; repeated
@@ -125,6 +128,11 @@ class Trie:
     def base(self, name: str) -> np.ndarray:
         return self.part(self.index)[name]
 
+    @property
+    def together(self) -> int:
+        """Slices of texts whose keys are looked up at once."""
+        return min(8, max(1, self.shards // 40))
+
     @property
     def vocabulary(self) -> int:
         return max(0, self.size - 1)
@@ -294,19 +302,42 @@ def _follow_level(trie: Trie) -> Callable:
     return build
 
 
+def _shards_together(trie: Trie) -> int:
+    """Shards whose last words are looked up at once; they are then read twice."""
+    return min(8, max(1, trie.shards // 128))
+
+
 def _triple_level(trie: Trie) -> Callable:
     """Shard numbers to the final level 2 and 3 of each; returns (shard, space): the values level 3 reaches over."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = trie.base("pair_base")
+        base, together = trie.base("pair_base"), _shards_together(trie)
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                space = 0
-                if base[shard + 1] > base[shard]:
-                    space = solve(shard, int(base[shard + 1] - base[shard]))
-                yield pa.RecordBatch.from_pydict({"shard": [shard], "space": [space]})
+            shards = batch.column(0).to_pylist()
+            for some in (shards[k : k + together] for k in range(0, len(shards), together)):
+                full = [(x, int(base[x + 1] - base[x])) for x in some if base[x + 1] > base[x]]
+                known = looked_up(_union([last_pairs(x, n) for x, n in full])) if len(full) > 1 else None
+                space = {x: solve(x, n, known) for x, n in full}
+                yield pa.RecordBatch.from_pydict({"shard": some, "space": [space.get(x, 0) for x in some]})
+
+    def last_pairs(shard: int, n: int) -> np.ndarray:
+        """Keys of the middle and last words of a shard's triples."""
+        pair = trie.coded("pairs", shard, "key").get(np.arange(n)) + _U(trie.part("pairs", shard)["base"][0])
+        kept = trie.part("triples", shard)
+        third, _ = _unpack(kept["triples"].tobytes(), int(kept["n"][0]), np.uint32, np.uint32)
+        (many,) = _unpack(kept["follow"].tobytes(), n, np.uint32)
+        second, real = np.repeat(pair % _U(trie.size), many), third != trie.size
+        return _union([trie.keys(second[real], third[real])])
 
-    def solve(shard: int, n: int) -> int:
+    def looked_up(distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rising keys of pairs, and their indices in level 2."""
+        a, b = (distinct // _U(trie.size)).astype(np.int64), (distinct % _U(trie.size)).astype(np.int64)
+        ends, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+        c, before = (x.astype(float) for x in trie.counts(ends))
+        i, j = where[: len(a)], where[len(a) :]
+        return distinct, trie.pairs(distinct, trie.shard_of(c[i], before[i], c[j], before[j]))
+
+    def solve(shard: int, n: int, known: tuple[np.ndarray, np.ndarray] | None) -> int:
         base = _U(trie.part("pairs", shard)["base"][0])
         pair = trie.coded("pairs", shard, "key").get(np.arange(n)) + base
         first, second = (pair // _U(trie.size)).astype(np.int64), (pair % _U(trie.size)).astype(np.int64)
@@ -330,11 +361,8 @@ def _triple_level(trie: Trie) -> Callable:
         # Rank of each last word among the successors of the middle word: where that pair is in level 2.
         keys = trie.keys(second[owner], word)
         distinct, back = np.unique(keys, return_inverse=True)
-        a, b = (distinct // _U(trie.size)).astype(np.int64), (distinct % _U(trie.size)).astype(np.int64)
-        ends, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-        c, before = (x.astype(float) for x in trie.counts(ends))
-        i, j = where[: len(a)], where[len(a) :]
-        rank = trie.pairs(distinct, trie.shard_of(c[i], before[i], c[j], before[j]))[back] - lo2[at2[owner]]
+        index = known[1][np.searchsorted(known[0], distinct)] if known else looked_up(distinct)[1]
+        rank = index[back] - lo2[at2[owner]]
         value = start[owner] + rank
         order = np.argsort(value)
         p2 = followed / (c1 + hi1 - lo1)[at1]
@@ -390,7 +418,8 @@ def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_
         return pa.table({"part": pa.array([k], pa.int64())})
 
     saved(by_part.groupBy("part").applyInArrow(write_words, "part long"), "manifest")
-    blocks = texts.mapInArrow(_blocks(trie, tokens_per_block), "shard long, n long, base long, block binary")
+    # Blocks have a piece for each shard: with many shards they are larger, so that pieces don't become ever smaller.
+    blocks = texts.mapInArrow(_blocks(trie, max(tokens_per_block, min(1000 * trie.shards, 1_600_000))), "shard long, n long, base long, block binary")
     found = saved(blocks.groupBy("shard").applyInArrow(_pair_level(trie), "shard long, n long, part long, word long, follow long"), "manifest")
     trie = trie.indexed(pair_base=_ends(found.filter(F.col("word").isNull()), "shard", "n", trie.shards))
     # Every part gets its pointers, also one whose words nothing follows: its first word is listed with none.
@@ -398,73 +427,124 @@ def build_trie(docs: DataFrame, text_col: str = "text", words_per_part: int = 1_
     follow = found.filter(F.col("word").isNotNull()).select("part", "word", "follow").unionByName(spark.createDataFrame(firsts, "part long, word long, follow long"))
     follow = follow.groupBy("part", "word").agg(F.sum("follow").alias("follow"))
     trie = trie.indexed(follow_base=_ends(saved(follow.groupBy("part").applyInArrow(_follow_level(trie), "part long, pairs long"), "manifest"), "part", "pairs", 1 << bits))
-    tasks = spark.range(0, trie.shards, 1, min(trie.shards, 100_000)).select(F.col("id").alias("shard"))
+    tasks = spark.range(0, trie.shards, 1, min(-(-trie.shards // _shards_together(trie)), 100_000)).select(F.col("id").alias("shard"))
     return trie.indexed(space_base=_ends(saved(tasks.mapInArrow(_triple_level(trie), "shard long, space long"), "manifest"), "shard", "space", trie.shards))
 
 
 def score_batch(trie: Trie, column: pa.Array) -> dict[str, np.ndarray]:
     """Tokens, known tokens, base score and score of each text."""
-    size, codes, hashes = tokens(column)
+    return next(score_block(trie, [tokens(column)]))
+
+
+def score_block(trie: Trie, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[dict[str, np.ndarray]]:
+    """score_batch of the texts of several parts, given by their tokens, whose words, pairs and triples are looked up together."""
+    hashes = _union([own_hashes for *_, own_hashes in parts])
     ids = trie.numbers(hashes) if trie.size else np.full(len(hashes), -1, np.int64)
     known = ids >= 0
     count, before = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
     if known.any():
         count[known], before[known] = trie.counts(ids[known])
     single = (count + 1) / (trie.total + trie.vocabulary + 1)
-    starts = np.cumsum(size) - size
-    base = np.add.reduceat(np.log10(single)[codes], starts)
-    p = single[codes]
-    if trie.total:
-        p = _interpolated(trie, codes, ids, count, before, starts, p)
-    return {"n_tokens": size, "n_known": np.add.reduceat(known[codes].astype(np.int64), starts), "base_score": base, "score": np.add.reduceat(np.log10(p), starts)}
+    parts = [(size, np.searchsorted(hashes, own_hashes).astype(np.int32)[codes]) for size, codes, own_hashes in parts]
+    scored = _probabilities(trie, parts, ids, count, before, single) if trie.total else (single[codes] for _, codes in parts)
+    for (size, codes), p in zip(parts, scored, strict=True):
+        starts = np.cumsum(size) - size
+        yield {"n_tokens": size, "n_known": np.add.reduceat(known[codes].astype(np.int64), starts), "base_score": np.add.reduceat(np.log10(single)[codes], starts), "score": np.add.reduceat(np.log10(p), starts)}
 
 
 def _interpolated(trie: Trie, codes: np.ndarray, ids: np.ndarray, count: np.ndarray, before: np.ndarray, starts: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Probabilities of the tokens of one part; p: those of single words."""
+    single = np.zeros(len(ids))
+    single[codes] = p
+    return next(_probabilities(trie, [(np.diff(np.append(starts, len(codes))), codes)], ids, count, before, single))
+
+
+def _probabilities(trie: Trie, parts: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, count: np.ndarray, before: np.ndarray, single: np.ndarray) -> Iterator[np.ndarray]:
+    """Probabilities of the tokens of each of the parts (size, codes); ids, count, before and single are by code."""
     begin = trie.numbers(np.array([BEGIN], _U))
     ids, count, before = np.append(ids, begin), np.append(count, trie.texts), np.append(before, trie.counts(begin)[1])
     lo, hi = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
     known = np.flatnonzero(ids >= 0)
     lo[known], hi[known] = trie.followers(ids[known])
-    prev = np.roll(codes, 1)
-    prev[starts] = len(ids) - 1
-    # Pairs: the distinct ones in rising order, then back to their places.
-    at = np.flatnonzero((ids[prev] >= 0) & (ids[codes] >= 0))
-    keys, back = np.unique(trie.keys(ids[prev[at]], ids[codes[at]]), return_inverse=True)
-    some = np.zeros(len(keys), np.int64)
-    some[back] = at  # a place of each
-    u, v = prev[some], codes[some]
+    mass1 = np.where(count > 0, (hi - lo) / np.maximum(1, count + (hi - lo)), 1.0)
+    mass1[ids < 0] = 1.0
+
+    def placed(size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts of texts, codes of the words before, and places of tokens with both words known."""
+        starts = np.cumsum(size) - size
+        prev = np.roll(codes, 1)
+        prev[starts] = len(ids) - 1
+        return starts, prev, np.flatnonzero((ids[prev] >= 0) & (ids[codes] >= 0))
+
+    def met(size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        _, prev, at = placed(size, codes)
+        return _distinct(trie.keys(ids[prev[at]], ids[codes[at]]))
+
+    # Pairs: the distinct ones in rising order, and for each token where its own is.
+    keys, pairs = _merged([met(*part) for part in parts])
+    order = known[np.argsort(ids[known])]
+    u, v = (order[np.searchsorted(ids[order], x.astype(np.int64))] for x in (keys // _U(trie.size), keys % _U(trie.size)))
     shard = trie.shard_of(count[u].astype(float), before[u].astype(float), count[v].astype(float), before[v].astype(float))
     index, pair_base, space_base = trie.pairs(keys, shard), trie.base("pair_base"), trie.base("space_base")
-    p2, mass2, space = np.zeros(len(keys)), np.ones(len(keys)), np.full(len(keys), -1, np.int64)
+    there, rank = index >= 0, index - lo[u]
+    del u, v
+    p2, mass2, space = np.zeros(len(keys), np.uint8), np.zeros(len(keys), np.uint8), np.full(len(keys), -1, np.int64)
     for k, cut in _pieces(shard):
-        hit = np.flatnonzero(index[cut] >= 0) + cut.start
+        hit = np.flatnonzero(there[cut]) + cut.start
         if len(hit):
             arrays, local = trie.part("probs", k), index[hit] - pair_base[k]
-            p2[hit], mass2[hit] = trie.value(arrays["p2"][local]), trie.value(arrays["mass"][local])
+            p2[hit], mass2[hit] = arrays["p2"][local], arrays["mass"][local]
             space[hit] = trie.coded("probs", k, "first").get(local).astype(np.int64) + space_base[k]
-    mass1 = np.where(count[prev] > 0, (hi - lo)[prev] / np.maximum(1, count[prev] + (hi - lo)[prev]), 1.0)
-    mass1[ids[prev] < 0] = 1.0
-    p = mass1 * p
-    p[at] += p2[back]
-    # Triples: the pair before is the context, the present pair's rank the word.
-    pair = np.full(len(codes), -1, np.int64)
-    pair[at] = back
-    context = np.roll(pair, 1)
-    context[starts] = -1
-    ahead = np.flatnonzero((context >= 0))
-    ahead = ahead[index[context[ahead]] >= 0]
-    p[ahead] *= mass2[context[ahead]]
-    ahead = ahead[(pair[ahead] >= 0)]
-    ahead = ahead[index[pair[ahead]] >= 0]
-    value = space[context[ahead]] + index[pair[ahead]] - lo[prev[ahead]]
-    values, back3 = np.unique(value, return_inverse=True)
-    p3 = np.zeros(len(values))
+    del index, shard
+
+    def triples_of(part: tuple[np.ndarray, np.ndarray], found: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(places, pairs) of contexts that are there, and (places, values) of triples whose both pairs are: the pair before is the context, the present pair's rank the word."""
+        starts, _, at = placed(*part)
+        pair = np.full(len(part[1]), -1, np.int32)
+        pair[at] = found
+        context = np.roll(pair, 1)
+        context[starts] = -1
+        after = np.flatnonzero(context >= 0)
+        after = after[there[context[after]]]
+        ahead = after[pair[after] >= 0]
+        ahead = ahead[there[pair[ahead]]]
+        return after, context[after], ahead, space[context[ahead]] + rank[pair[ahead]]
+
+    alone = triples_of(parts[0], pairs[0]) if len(parts) == 1 else None  # of several parts they are found twice, to hold less
+    values, triples = _merged([_distinct((alone or triples_of(*x))[-1]) for x in zip(parts, pairs, strict=True)])
+    p3, found = np.zeros(len(values), np.uint8), np.zeros(len(values), bool)
     for k, cut in _pieces(np.searchsorted(space_base, values, side="right") - 1):
         local = trie.coded("probs", k, "rank").find((values[cut] - space_base[k]).astype(_U))
         hit = np.flatnonzero(local >= 0)
-        p3[cut.start + hit] = trie.value(trie.part("probs", k)["p3"][local[hit]])
-    p[ahead] += p3[back3]
-    return p
+        p3[cut.start + hit], found[cut.start + hit] = trie.part("probs", k)["p3"][local[hit]], True
+    for part, pair, triple in zip(parts, pairs, triples, strict=True):
+        _, prev, at = placed(*part)
+        after, context, ahead, _ = alone or triples_of(part, pair)
+        p = mass1[prev] * single[part[1]]
+        p[at] += np.where(there[pair], trie.value(p2[pair]), 0.0)
+        p[after] *= trie.value(mass2[context])
+        p[ahead] += np.where(found[triple], trie.value(p3[triple]), 0.0)
+        yield p
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising distinct values, and where each value is among them."""
+    distinct, back = np.unique(values, return_inverse=True)
+    return distinct, back.astype(np.int32)
+
+
+def _union(arrays: list[np.ndarray]) -> np.ndarray:
+    """Rising distinct values. (np.unique without places hashes, which takes several times as long as a sort of such numbers.)"""
+    values = np.sort(np.concatenate(arrays), kind="stable")
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """_distinct of several arrays as one of all."""
+    if len(parts) == 1:
+        return parts[0][0], [parts[0][1]]
+    every = _union([distinct for distinct, _ in parts])
+    return every, [np.searchsorted(every, distinct).astype(np.int32)[back] for distinct, back in parts]
 
 
 def score_texts(df: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -473,9 +553,20 @@ def score_texts(df: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str
     names = [id_col, "n_tokens", "n_known", "base_score", "score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def scored() -> Iterator[pa.RecordBatch]:
+            for these, got in zip(keys, score_block(trie, parts), strict=True):
+                yield pa.RecordBatch.from_arrays([these, *[pa.array(got[c]) for c in names[1:]]], names=names)
+
+        keys, parts = [], []
         for batch in slices(batches, 1):
-            got = score_batch(trie, batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(got[c]) for c in names[1:]]], names=names)
+            size, codes, hashes = tokens(batch.column(1))
+            keys.append(batch.column(0))
+            parts.append((size, codes.astype(np.int32), hashes))
+            if len(parts) >= trie.together:
+                yield from scored()
+                keys, parts = [], []
+        if parts:
+            yield from scored()
 
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.mapInArrow(score, f"`{id_col}` {kind}, n_tokens long, n_known long, base_score double, score double")

@@ -83,3 +83,19 @@ def token_score(trie, text, place):
     count[known], before[known] = trie.counts(ids[known])
     single = (count + 1) / (trie.total + trie.vocabulary + 1)
     return np.log10(lm_trie._interpolated(trie, codes, ids, count, before, np.cumsum(size) - size, single[codes]))[place]
+
+
+def test_lookups_in_a_shard_are_made_for_several_slices_and_shards(spark, monkeypatch):
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choices([f"w{k}" for k in range(300)], k=40))) for i in range(200)]
+    trie = lm_trie.build_trie(docs_frame(spark, docs), tokens_per_shard=8)
+    assert trie.shards > 1000 and trie.together == 8
+    parts = [lm_trie.tokens(pa.array([text for _, text in docs[k : k + 20]])) for k in range(0, 160, 20)]
+    looked, pairs = [], lm_trie.Trie.pairs
+    monkeypatch.setattr(lm_trie.Trie, "pairs", lambda self, keys, shard: looked.append(len(np.unique(shard))) or pairs(self, keys, shard))
+    together = [x["score"].tolist() for x in lm_trie.score_block(trie, parts)]
+    assert len(looked) == 1
+    assert together == [next(lm_trie.score_block(trie, [part]))["score"].tolist() for part in parts]
+    whole = lm_trie.build_trie(docs_frame(spark, docs))
+    assert whole.together == 1
+    assert np.allclose(np.concatenate(together), np.concatenate([next(lm_trie.score_block(whole, [part]))["score"] for part in parts]), rtol=0, atol=1e-9)
